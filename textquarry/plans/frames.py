@@ -24,20 +24,28 @@ def with_stats(df: DataFrame, corpus: Corpus, features: Features) -> DataFrame:
     return df.withColumn(STATS, features.stats_struct(totals).scalar())
 
 
-def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None) -> DataFrame:
+def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None,
+                  among: DataFrame | None = None) -> DataFrame:
     """The rows a match is decided on, with their feature columns.
 
-    ``columns`` lists the corpus columns needed later (None: all of them).
+    ``columns`` lists the corpus columns needed later (None: all of them);
+    ``among`` restricts the rows to the ids it holds.
     """
     features = compiler.features
     if corpus.index is None or not features.text_used:
+        if among is not None:
+            return features.scan_frame(corpus.df.join(among, corpus.key(), "left_semi"))
         return features.scan_frame(scan_base(corpus, features))
     key = corpus.key()
     frame = corpus.index.frame(features).withColumnRenamed("doc_id", key)
+    if among is not None:
+        frame = frame.join(among, key, "left_semi")
     wanted = set(corpus.df.columns if columns is None else columns) | compiler.row_fields
     if part.needs_text and not wanted - {key}:
         return frame
     rows = corpus.df.select(key, *sorted(wanted - {key}))
+    if among is not None:
+        rows = rows.join(among, key, "left_semi")
     if part.needs_text:
         return rows.join(frame, key)
     missing = {n: 0 for n in [*features.terms.values(), *features.phrases.values(), *features.lengths.values()]}
