@@ -169,6 +169,12 @@ def _name(column: Column) -> str:
     return column._jc.toString()
 
 
+def matches(corpus: Corpus, query: Query | None = None, *, scored: bool = False) -> DataFrame:
+    """Every matching row, unranked, with a ``score`` column if asked for."""
+    rows = matching(corpus, query, scored=scored)
+    return rows.withColumnRenamed(SCORE, "score") if scored else rows
+
+
 def count(corpus: Corpus, query: Query | None = None) -> DataFrame:
     """Number of matching rows as a one-row DataFrame ``total``."""
     return matching(corpus, query, columns=[]).agg(F.count(F.lit(1)).alias("total"))
