@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def docs(spark: SparkSession, sf_dir: str, analyzer: str = "default") -> Corpus:
     """``documents`` with its text analysed and a ``/lang/source`` facet."""
     df = table(spark, sf_dir, "documents").withColumn("path", F.concat(F.lit("/"), "lang", F.lit("/"), "source"))
-    return Corpus(df, "doc_id", {"text": text(analyzer), "path": of_kind("facet")})
+    return Corpus(df, "doc_id", {"text": text(analyzer), "path": of_kind("facet")}, unique_ids=True)
 
 
 def of_table(name: str, id_col: str | None = None, **fields):

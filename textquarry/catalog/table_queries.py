@@ -375,8 +375,10 @@ register(
 register(
     "delete_by_id",
     lambda spark, sf: maintain.delete(
-        customer(spark, sf), table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))).df.select("c_custkey"),
-    "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+        customer(spark, sf),
+        table(spark, sf, "orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey")),
+    ).df.select("c_custkey"),
+    "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)",
 )
 register(
     "delete_by_query",

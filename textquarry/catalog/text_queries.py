@@ -11,7 +11,8 @@ from textquarry.operators.explain import explain_scores
 from textquarry.operators.search import ByField, Relevance, count, matches, search
 from textquarry.operators.similar import more_like_this, search_many
 from textquarry.operators.snippets import Snippet
-from textquarry.plans.terms import term_rows
+from textquarry.plans.terms import bind, term_rows
+from textquarry.sources.corpus import spread
 from textquarry.sources.postings import TermIndex
 from textquarry.sources.scratch import scratch_path
 
@@ -34,13 +35,13 @@ def _ranked(query, limit=10, **options):
 
 def _scored(query):
     def run(spark, sf):
-        return matches(docs(spark, sf), query, scored=True).select("doc_id", F.round("score", 6).alias("score"))
+        return matches(docs(spark, sf), query, scored=True, columns=["doc_id"]).select("doc_id", F.round("score", 6).alias("score"))
 
     return run
 
 
 def _ids(query):
-    return lambda spark, sf: matches(docs(spark, sf), query).select("doc_id")
+    return lambda spark, sf: matches(docs(spark, sf), query, columns=["doc_id"])
 
 
 def _top_sql(terms, where, score, limit=10, offset=0, order="s DESC, doc_id"):
@@ -208,7 +209,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id
 
 
 def _like_one(spark, sf):
-    hits = search(docs(spark, sf), q.MoreLikeThis(687, **_LIKE), limit=20)
+    hits = search(docs(spark, sf), q.MoreLikeThis(687, **_LIKE), limit=20, payload="materialized", return_fields=["doc_id"])
     return hits.select(F.lit(687).cast("long").alias("query_id"), F.col("rank"), F.round("score", 6).alias("score"))
 
 
@@ -298,7 +299,7 @@ def _indexed(query):
     def run(spark, sf):
         corpus = docs(spark, sf)
         index = TermIndex.build(corpus, scratch_path(spark, "index"))
-        return matches(corpus.with_index(index), query, scored=True).select("doc_id", F.round("score", 6).alias("score"))
+        return matches(corpus.with_index(index), query, scored=True, columns=["doc_id"]).select("doc_id", F.round("score", 6).alias("score"))
 
     return run
 
@@ -323,8 +324,9 @@ def _tokens(analyzer, name="documents", key="doc_id", column="text"):
     """Per row: token count, total length, and an order-sensitive digest of the tokens."""
     def run(spark, sf):
         tokens = tokenize(F.col(column), analyzer)
-        return table(spark, sf, name).select(
-            key, F.size(tokens).alias("n"), F.md5(F.array_join(tokens, "\n")).alias("digest")
+        rows = spread(table(spark, sf, name).select(key, column), key)
+        return bind(rows, "tokens", tokens).select(
+            key, F.size("tokens").alias("n"), F.md5(F.array_join("tokens", "\n")).alias("digest")
         )
 
     return run

@@ -5,20 +5,18 @@ length filter leaves a NULL, so later tokens keep their positions and a phrase
 cannot close over the hole. ``tokenize`` is the same array without the holes.
 
 Everything but stemming is a JVM expression. Stemming runs as an Arrow UDF on
-the token array (no shuffle); each worker remembers the words it has stemmed.
+the token array (no shuffle); each task remembers the words it has stemmed.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textquarry.errors import FieldError
-from textquarry.functions.stemmer import stem_word
+from textquarry.functions import stemmer
 
 # Token classes, length limit in bytes, edge n-gram sizes.
 WORD_CHARS = r"\p{IsAlphabetic}\p{N}"
@@ -35,12 +33,9 @@ WORD_BASED = ("default", "simple") + STEMMING
 BLANK_BASED = ("whitespace", "whitespace_raw")
 CASE_KEEPING = ("raw", "simple", "whitespace_raw")
 
-_stem_cached = lru_cache(maxsize=1 << 18)(stem_word)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stem_tokens(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda ws: None if ws is None else [w if w is None else _stem_cached(w) for w in ws])
+# Ship the stemmer's code with the UDF, so workers need no installed package.
+cloudpickle.register_pickle_by_value(stemmer)
+_stem_tokens = F.pandas_udf(stemmer.stem_series, T.ArrayType(T.StringType()))
 
 
 def check_analyzer(name: str) -> str:
@@ -106,6 +101,6 @@ def analyze_literals(spark: SparkSession, wanted: list[tuple[str, str]]) -> list
     ]
     row = spark.range(1).select(*cols).first()
     return [
-        [stem_word(t) for t in tokens] if analyzer in STEMMING else list(tokens)
+        [stemmer.stem_word(t) for t in tokens] if analyzer in STEMMING else list(tokens)
         for tokens, (_, analyzer) in zip(row, wanted)
     ]

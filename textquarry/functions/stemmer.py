@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
+
 # Fixed values of the published algorithm.
 VOWELS = "aeiouy"
 DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
@@ -111,3 +113,22 @@ def stem_word(word: str) -> str:
     elif w.endswith("ll") and len(w) - 1 >= r2:
         w = w[:-1]
     return w.replace("Y", "y")
+
+
+_stems: dict[str, str] = {}
+_STEMS_KEPT = 1 << 18
+
+
+def stem_series(tokens: pd.Series) -> pd.Series:
+    """Stem a batch of token arrays, looking each distinct word up only once per task."""
+    def stem(word):
+        if word is None:
+            return None
+        found = _stems.get(word)
+        if found is None:
+            if len(_stems) >= _STEMS_KEPT:
+                _stems.clear()
+            found = _stems[word] = stem_word(word)
+        return found
+
+    return tokens.map(lambda words: None if words is None else [stem(w) for w in words])

@@ -41,6 +41,16 @@ def facet_ancestors(path: Column) -> Column:
     )
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# One decimal octet, four of them.
+_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_DOTTED = rf"{_OCTET}(\.{_OCTET}){{3}}"
+
+
 def ip_canonical(text: Column) -> Column:
     """Canonical text of an IP address, comparable as a string; NULL if unreadable.
 
@@ -48,43 +58,50 @@ def ip_canonical(text: Column) -> Column:
     get lower-case groups without leading zeros and ``::`` for the longest run
     of two or more zero groups.
     """
-    octet = r"(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-    dotted = rf"{octet}(\.{octet}){{3}}"
-    is_v4 = text.rlike(f"^{dotted}$")
-
-    # A dotted tail is rewritten as two hexadecimal groups before splitting.
-    tail = F.regexp_extract(text, f":({dotted})$", 1)
-    o = [F.split_part(tail, F.lit("."), F.lit(i + 1)).try_cast("int") for i in range(4)]
-    hex_tail = F.concat_ws(":", F.hex(o[0] * 256 + o[1]), F.hex(o[2] * 256 + o[3]))
-    flat = F.when(tail != "", F.concat(F.left(text, F.length(text) - F.length(tail)), hex_tail)).otherwise(text)
-
-    halves = F.split(F.lower(flat), "::", -1)
-    head = F.filter(F.split(F.get(halves, F.lit(0)), ":"), lambda g: g != "")
-    rest = F.filter(
-        F.split(F.coalesce(F.get(halves, F.lit(1)), F.lit("")), ":"), lambda g: g != ""
-    )
-    missing = F.lit(8) - F.size(head) - F.size(rest)
-    padded = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), rest)
-    groups = F.transform(padded, lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
-    joined = F.array_join(groups, ":")
-    well_formed = (
-        F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-        & (F.size(groups) == 8)
-        & (F.size(halves) <= 2)
-        & ((F.size(halves) == 1) | (missing >= 1))
-        & ~flat.rlike("^:[^:]|[^:]:$|:::")
-    )
+    return F.when(text.rlike(f"^{_DOTTED}$"), text).otherwise(let(_hex_tail(text), _canonical_v6))
+
+
+def _hex_tail(text: Column) -> Column:
+    """A dotted tail (``::1.2.3.4``) rewritten as two hexadecimal groups."""
+    tail = F.regexp_extract(text, f":({_DOTTED})$", 1)
+
+    def rewrite(t: Column) -> Column:
+        o = [F.split_part(t, F.lit("."), F.lit(i + 1)).try_cast("int") for i in range(4)]
+        words = F.concat_ws(":", F.hex(o[0] * 256 + o[1]), F.hex(o[2] * 256 + o[3]))
+        return F.when(t != "", F.concat(F.left(text, F.length(text) - F.length(t)), words)).otherwise(text)
+
+    return F.lower(let(tail, rewrite))
+
+
+def _canonical_v6(flat: Column) -> Column:
+    def groups_of(part: Column) -> Column:
+        return F.filter(F.split(F.coalesce(part, F.lit("")), ":"), lambda g: g != "")
+
+    def expand(halves: Column) -> Column:
+        head, rest = groups_of(F.get(halves, F.lit(0))), groups_of(F.get(halves, F.lit(1)))
+        missing = F.lit(8) - F.size(head) - F.size(rest)
+        padded = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), rest)
+        complete = (F.size(halves) == 1) | ((F.size(halves) == 2) & (missing >= 1))
+        return F.when(complete, F.transform(padded, lambda g: F.regexp_replace(g, "^0+(?=.)", "")))
+
+    def shown(groups: Column) -> Column:
+        well_formed = (F.size(groups) == 8) & F.forall(groups, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+        word = [F.conv(F.get(groups, F.lit(i)), 16, 10).cast("int") for i in (6, 7)]
+        as_v4 = F.concat_ws(".", *[p.cast("string") for w in word for p in (F.shiftright(w, 8), w.bitwiseAND(255))])
+        is_mapped = F.array_join(F.slice(groups, 1, 6), ":") == "0:0:0:0:0:ffff"
+        return F.when(well_formed, F.when(is_mapped, as_v4).otherwise(let(F.array_join(groups, ":"), _shortest)))
+
+    stray = flat.rlike("^:[^:]|[^:]:$|:::")
+    return F.when(~stray, let(let(F.split(flat, "::", -1), expand), shown))
 
-    short = joined
-    for run in range(2, 9):  # the longest run wins, so it is tried last (outermost)
-        zeros = "(^|:)0" + "(:0)" * (run - 1) + "(:|$)"
-        short = F.when(joined.rlike(zeros), F.regexp_replace(joined, f"^(.*?){zeros}", "$1::")).otherwise(short)
 
-    g6, g7 = (F.conv(F.get(groups, F.lit(i)), 16, 10).cast("int") for i in (6, 7))
-    as_v4 = F.concat_ws(".", *[p.cast("string") for p in (
-        F.shiftright(g6, 8), g6.bitwiseAND(255), F.shiftright(g7, 8), g7.bitwiseAND(255))])
-    mapped = joined.startswith("0:0:0:0:0:ffff:")
-    return F.when(is_v4, text).when(well_formed & mapped, as_v4).when(well_formed, short)
+def _shortest(joined: Column) -> Column:
+    """``::`` in place of the longest run of zero groups, the first of equal ones."""
+    out = joined
+    for run in range(2, 9):  # the longest run is tried first, so it is wrapped last
+        zeros = f"(?:^|:)0(?::0){{{run - 1}}}(?::|$)"
+        out = F.when(joined.rlike(zeros), F.regexp_replace(joined, f"^(.*?){zeros}", "$1::")).otherwise(out)
+    return out
 
 
 def is_json_object(text: Column) -> Column:

@@ -140,9 +140,14 @@ def search(
     order, reads, ranked = sort_columns(corpus, sort)
     scored = ranked or with_score or min_score is not None
 
-    # With an index, rank on ids alone and fetch the other columns for the page.
-    late = corpus.index is not None
-    columns = reads if late else None
+    # Rank on narrow rows and fetch texts for the page only, where the id allows it.
+    wanted = {"value": list(return_fields[:1]), "doc": []}.get(payload, list(return_fields)) or corpus.df.columns
+    has_text = bool(snippets) or bool(set(wanted) & set(corpus.text_fields))
+    late = corpus.index is not None or (has_text and scored and corpus.unique_ids)
+    if late:
+        columns = reads
+    else:
+        columns = None if has_text else list(dict.fromkeys([*reads, *wanted]))
     rows = matching(corpus, query, scored=scored, columns=columns)
     if min_score is not None:
         rows = rows.where(F.col(SCORE) >= min_score)
@@ -150,7 +155,7 @@ def search(
     page = page.withColumn("__rank", F.row_number().over(W.orderBy(*order)))
     if offset:
         page = page.where(F.col("__rank") > offset)
-    if late:
+    if late and (has_text or not set(wanted) <= set(reads)):
         slim = page.select(f"`{corpus.key()}`", "__rank", *([SCORE] if scored else []))
         small = F.broadcast(slim) if limit + offset <= BROADCAST_PAGE else slim
         page = corpus.df.join(small, corpus.key())
@@ -169,9 +174,14 @@ def _name(column: Column) -> str:
     return column._jc.toString()
 
 
-def matches(corpus: Corpus, query: Query | None = None, *, scored: bool = False) -> DataFrame:
-    """Every matching row, unranked, with a ``score`` column if asked for."""
-    rows = matching(corpus, query, scored=scored)
+def matches(corpus: Corpus, query: Query | None = None, *, scored: bool = False,
+            columns: Sequence[str] | None = None) -> DataFrame:
+    """Every matching row, unranked, with a ``score`` column if asked for.
+
+    Name the ``columns`` you need: leaving out the text saves a second analysis
+    of it when scoring.
+    """
+    rows = matching(corpus, query, scored=scored, columns=None if columns is None else list(columns))
     return rows.withColumnRenamed(SCORE, "score") if scored else rows
 
 

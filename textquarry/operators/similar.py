@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from textquarry.errors import RequestError
 from textquarry.functions.analysis import token_slots
+from textquarry.plans.frames import share
 from textquarry.plans.features import STATS, Features, scan_base
 from textquarry.plans.query import MoreLikeThis
 from textquarry.plans.scoring import bm25, idf
-from textquarry.plans.terms import term_rows
+from textquarry.plans.terms import distinct_terms, term_rows
 from textquarry.sources.corpus import Corpus
 from textquarry.sources.fields import TEXT, literal
 
@@ -29,7 +30,7 @@ def _corpus_stats(corpus: Corpus, fields: list[str]) -> DataFrame:
     if corpus.index is not None:
         totals = corpus.index.totals(features, corpus)
     else:
-        totals = features.scan_stats(scan_base(corpus, features))
+        totals = features.totals(features.scan_frame(scan_base(corpus, features)))
     pairs = [(f, features.length_stats[f]) for f in fields]
     return features.stats_struct(totals).select(
         F.struct(
@@ -42,11 +43,12 @@ def _corpus_stats(corpus: Corpus, fields: list[str]) -> DataFrame:
     )
 
 
-def _rows(corpus: Corpus, fields: list[str]) -> DataFrame:
-    """``doc_id, field, term, tf, dl`` for the whole corpus, stored or derived."""
+def _rows(corpus: Corpus, fields: list[str], frequency: bool) -> DataFrame:
+    """``doc_id, field, term, dl`` (and ``tf``) for the whole corpus, stored or derived."""
+    columns = ["doc_id", "field", "term", "dl", *(["tf"] if frequency else [])]
     if corpus.index is not None:
-        return corpus.index.postings.where(F.col("field").isin(fields)).select("doc_id", "field", "term", "tf", "dl")
-    return term_rows(corpus, fields)
+        return corpus.index.postings.where(F.col("field").isin(fields)).select(*columns)
+    return (term_rows if frequency else distinct_terms)(corpus, fields).select(*columns)
 
 
 def _doc_freqs(corpus: Corpus, fields: list[str], terms: DataFrame, small: bool) -> DataFrame:
@@ -55,9 +57,9 @@ def _doc_freqs(corpus: Corpus, fields: list[str], terms: DataFrame, small: bool)
     if corpus.index is not None:
         return corpus.index.terms.join(F.broadcast(vocabulary) if small else vocabulary, ["field", "term"])
     if small:  # narrow before counting, so only asked-for terms are shuffled
-        rows = _rows(corpus, fields).join(F.broadcast(vocabulary), ["field", "term"])
+        rows = _rows(corpus, fields, False).join(F.broadcast(vocabulary), ["field", "term"])
         return rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    counts = _rows(corpus, fields).groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    counts = _rows(corpus, fields, False).groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
     return counts.join(vocabulary, ["field", "term"])
 
 
@@ -67,12 +69,13 @@ def _fits(rows: DataFrame, bound: int) -> bool:
 
 
 def _best_per_request(corpus: Corpus, fields: list[str], asked: DataFrame, stats: DataFrame, k: int,
-                      small: bool, frequency: bool, excluding_self: bool) -> DataFrame:
+                      small: bool, frequency: bool, excluding_self: bool,
+                      rows: DataFrame | None = None) -> DataFrame:
     """Score every (request, row) pair that shares a term and keep each request's best ``k``.
 
     ``asked`` has ``query_id, field, term, idf, weight``.
     """
-    rows = _rows(corpus, fields)
+    rows = _rows(corpus, fields, frequency) if rows is None else rows
     on = ["field", "term"]
     if small:
         pairs = rows.join(F.broadcast(asked), on)
@@ -109,13 +112,34 @@ def search_many(corpus: Corpus, queries: DataFrame, k: int = 10, *, query_id: st
         words = part if words is None else words.unionByName(part)
     small = _fits(words, BROADCAST_TERMS)
     wanted = words.groupBy("query_id", "field", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    stats = _corpus_stats(corpus, fields)
-    freqs = _doc_freqs(corpus, fields, wanted, small)
+    rows = None
+    if corpus.index is None and small:
+        # One analysis of the corpus gives the asked-for terms, their frequencies and the field lengths.
+        vocabulary = wanted.select("field", "term").distinct()
+        found = term_rows(corpus, fields, markers=True).join(
+            F.broadcast(vocabulary.withColumn("known", F.lit(True))), ["field", "term"], "left"
+        ).where("known OR term IS NULL")
+        rows = share(found.select("doc_id", "field", "term", "tf", "dl"))
+        stats = _stats_of_markers(rows.where("term IS NULL"))
+        rows = rows.where("term IS NOT NULL")
+        freqs = rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        stats = _corpus_stats(corpus, fields)
+        freqs = _doc_freqs(corpus, fields, wanted, small)
     asked = (
         wanted.join(freqs, ["field", "term"]).withColumn(STATS, stats.scalar())
         .select("query_id", "field", "term", "weight", idf(F.col(STATS)["n"], F.col("df")).alias("idf"))
     )
-    return _best_per_request(corpus, fields, asked, stats, k, small, frequency=True, excluding_self=False)
+    return _best_per_request(corpus, fields, asked, stats, k, small, frequency=True, excluding_self=False, rows=rows)
+
+
+def _stats_of_markers(markers: DataFrame) -> DataFrame:
+    """Row count and average lengths from the one marker row per (row, field)."""
+    per_field = markers.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total"))
+    return per_field.agg(F.struct(
+        F.max("n").alias("n"),
+        F.map_from_entries(F.collect_list(F.struct("field", (F.col("total") / F.col("n")).alias("avg")))).alias("avg"),
+    ).alias(STATS))
 
 
 def _telling_terms(corpus: Corpus, fields: list[str], sources: DataFrame, like: MoreLikeThis,
@@ -192,8 +216,8 @@ def telling_terms(corpus: Corpus, like: MoreLikeThis) -> list[tuple[str, str, fl
     key = corpus.key()
     spec = corpus.spec(key)
     source = corpus.df.where(spec.any_value(lambda v: v == literal(spec, like.source_id))).limit(1)
-    if source.isEmpty():
-        raise RequestError(f"more_like_this: no row with {key} = {like.source_id!r}")
     found = _telling_terms(corpus, fields, source, like, _corpus_stats(corpus, fields), small=True)
     rows = found.orderBy(F.desc("weight"), "field", "term").collect()
+    if not rows and source.isEmpty():
+        raise RequestError(f"more_like_this: no row with {key} = {like.source_id!r}")
     return [(r.field, r.term, None if like.boost_factor is None else r.weight) for r in rows]

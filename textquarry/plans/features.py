@@ -21,6 +21,7 @@ from textquarry.plans.terms import bind, token_count
 from textquarry.sources.corpus import Corpus, spread
 
 STATS = "__stats"
+MANY_TERMS = 4
 
 
 @dataclass(frozen=True)
@@ -101,6 +102,11 @@ class Features:
         names += [p.field for p in self.phrases] + list(self.lengths)
         return list(dict.fromkeys(names))
 
+    @property
+    def names(self) -> list[str]:
+        """The columns ``scan_frame`` adds."""
+        return [*self.terms.values(), *self.tests, *self.phrases.values(), *self.lengths.values()]
+
     def attach_lookups(self, df: DataFrame) -> DataFrame:
         return df.withColumns({n: f.scalar() for n, f in self.lookups.items()}) if self.lookups else df
 
@@ -114,8 +120,14 @@ class Features:
             df = bind(df, slot[f], field_slots(self.corpus.spec(f)))
         df = self.attach_lookups(df)
         out = {}
+        hits = dict(slot)  # with many terms, count in the few slots that hold any of them
+        for f in fields:
+            asked = [t for g, t in self.terms if g == f]
+            if len(asked) > MANY_TERMS:
+                hits[f] = f"__hits{len(slot)}_{slot[f]}"
+                df = bind(df, hits[f], F.filter(slot[f], _one_of(asked)))
         for (f, term), name in self.terms.items():
-            out[name] = F.size(slot[f]) - F.size(F.array_remove(slot[f], term))
+            out[name] = F.size(hits[f]) - F.size(F.array_remove(hits[f], term))
         for name, (f, predicate) in self.tests.items():
             out[name] = F.coalesce(F.exists(slot[f], predicate), F.lit(False))
         for spec, name in self.phrases.items():
@@ -123,15 +135,14 @@ class Features:
         for f, name in self.lengths.items():
             out[name] = token_count(F.col(slot[f]))
         df = bind(df, "__q", F.struct(*[c.alias(n) for n, c in out.items()]))
-        return df.select("*", "__q.*").drop("__q", *slot.values(), *self.lookups)
+        return df.select("*", "__q.*").drop("__q", *slot.values(), *hits.values(), *self.lookups)
 
     @property
     def needs_stats(self) -> bool:
         return bool(self.term_stats or self.length_stats or self.row_stats)
 
-    def scan_stats(self, df: DataFrame) -> DataFrame:
-        """One row of statistics over the whole corpus (a partial aggregate, no shuffle of rows)."""
-        frame = self.scan_frame(df)
+    def totals(self, frame: DataFrame) -> DataFrame:
+        """One row of counts over ``frame``, the features of every row (a partial aggregate)."""
         aggs = [F.count(F.lit(1)).alias("n")]
         for key, s in self.term_stats.items():
             aggs.append(F.count_if(F.col(self.terms[key]) > 0).alias(f"df_{s}"))
@@ -152,6 +163,10 @@ class Features:
         return totals.select(F.struct(*cols).alias(STATS))
 
 
+def _one_of(terms: list[str]) -> Callable[[Column], Column]:
+    return lambda t: t.isin(*terms)
+
+
 def scan_base(corpus: Corpus, features: Features) -> DataFrame:
     return spread(corpus.df, corpus.id_col) if features.text_used and corpus.id_col else corpus.df
 

@@ -13,17 +13,29 @@ from textquarry.sources.corpus import Corpus
 SCORE = "__score"
 
 
-def with_stats(df: DataFrame, corpus: Corpus, features: Features) -> DataFrame:
-    """Attach corpus statistics as a scalar subquery: one tiny row, computed once."""
+def with_stats(df: DataFrame, corpus: Corpus, features: Features, frame: DataFrame | None = None) -> DataFrame:
+    """Attach corpus statistics as a scalar subquery: one tiny row, computed once.
+
+    ``frame`` holds the features of every row, if the caller has them already.
+    """
     if not features.needs_stats:
         return df
     if corpus.index is not None:
         totals = corpus.index.totals(features, corpus)
     else:
-        totals = features.scan_stats(scan_base(corpus, features))
+        totals = features.totals(features.scan_frame(scan_base(corpus, features)) if frame is None else frame)
     return df.withColumn(STATS, features.stats_struct(totals).scalar())
 
 
+def share(frame: DataFrame) -> DataFrame:
+    """Put a shuffle under ``frame`` that several consumers in one query can reuse.
+
+    All columns are partitioning keys, so none is pruned for one consumer and
+    kept for another: the plans stay equal and Spark runs the shuffle once.
+    """
+    return frame.repartition(*[f"`{c}`" for c in frame.columns])
+
+
 def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None,
                   among: DataFrame | None = None) -> DataFrame:
     """The rows a match is decided on, with their feature columns.
@@ -54,11 +66,26 @@ def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[
 
 def matching(corpus: Corpus, query: Query | None, *, scored: bool = False,
              columns: list[str] | None = None) -> DataFrame:
-    """Rows that match ``query``, plus a ``__score`` column if ``scored``."""
+    """Rows that match ``query``, plus a ``__score`` column if ``scored``.
+
+    Scoring needs corpus statistics as well as the features of the matching
+    rows. When no text has to be returned, the small feature rows of one
+    analysis serve both; otherwise the text is analysed once for each.
+    """
     compiler = Compiler(corpus)
     part = compiler.compile(query if query is not None else All())
-    frame = feature_frame(corpus, compiler, part, columns).where(part.match)
+    features = compiler.features
+    frame = feature_frame(corpus, compiler, part, columns)
+    every = None
+    one_pass = (
+        scored and corpus.index is None and features.needs_stats and features.text_used
+        and columns is not None and not set(columns) & set(corpus.text_fields)
+    )
+    if one_pass:
+        kept = [c for c in corpus.df.columns if c in columns or c in compiler.row_fields]
+        every = frame = share(frame.select(*[f"`{c}`" for c in kept], *features.names))
+    rows = frame.where(part.match)
     if scored:
-        frame = with_stats(frame, corpus, compiler.features).withColumn(SCORE, part.score)
-    keep = [f"`{c}`" for c in corpus.df.columns if c in frame.columns and (columns is None or c in columns)]
-    return frame.select(*keep, *([SCORE] if scored else []))
+        rows = with_stats(rows, corpus, features, every).withColumn(SCORE, part.score)
+    keep = [f"`{c}`" for c in corpus.df.columns if c in rows.columns and (columns is None or c in columns)]
+    return rows.select(*keep, *([SCORE] if scored else []))

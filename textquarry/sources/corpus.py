@@ -28,10 +28,13 @@ class Corpus:
     the term index). ``seq_col`` gives the "index order"; the id by default.
     ``fields`` overrides the kind of single columns: ``{"body": text("simple"),
     "path": "facet"}``. Undeclared columns get a kind from their type.
+    ``unique_ids`` promises that no id occurs twice. A ranked search may then
+    decide on ids alone and fetch texts for the page only; without the promise
+    the text is analysed a second time instead.
     """
 
     def __init__(self, df: DataFrame, id_col: str | None = None, fields: dict | None = None,
-                 seq_col: str | None = None, index=None):
+                 seq_col: str | None = None, unique_ids: bool = False):
         self.df = df
         self.fields: dict[str, FieldSpec] = resolve_fields(df.schema, fields or {})
         for name in (id_col, seq_col):
@@ -39,7 +42,8 @@ class Corpus:
                 raise FieldError(f"no column {name!r}")
         for spec in self.fields.values():
             check_analyzer(spec.analyzer)
-        self.id_col, self.seq_col, self.index = id_col, seq_col or id_col, index
+        self.id_col, self.seq_col, self.unique_ids = id_col, seq_col or id_col, unique_ids
+        self.index = None
 
     @property
     def spark(self) -> SparkSession:
@@ -70,11 +74,11 @@ class Corpus:
         """The same declarations over other rows; an index no longer applies."""
         out = Corpus.__new__(Corpus)
         out.df, out.fields, out.index = df, self.fields, None
-        out.id_col, out.seq_col = self.id_col, self.seq_col
+        out.id_col, out.seq_col, out.unique_ids = self.id_col, self.seq_col, self.unique_ids
         return out
 
     def with_index(self, index) -> Corpus:
-        """The same corpus answering text queries from a stored term index."""
+        """The same corpus answering text queries from a stored term index (ids must be unique)."""
         out = self.with_df(self.df)
         out.index = index
         return out
