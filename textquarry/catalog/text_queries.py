@@ -209,8 +209,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id
 
 
 def _like_one(spark, sf):
-    hits = search(docs(spark, sf), q.MoreLikeThis(687, **_LIKE), limit=20, payload="materialized", return_fields=["doc_id"])
-    return hits.select(F.lit(687).cast("long").alias("query_id"), F.col("rank"), F.round("score", 6).alias("score"))
+    hits = search(docs(spark, sf), q.MoreLikeThis(69, **_LIKE), limit=20, payload="materialized", return_fields=["doc_id"])
+    return hits.select(F.lit(69).cast("long").alias("query_id"), F.col("rank"), F.round("score", 6).alias("score"))
 
 
 def _like_all(spark, sf):
@@ -218,7 +218,7 @@ def _like_all(spark, sf):
     return hits.select("query_id", "rank", F.round("score", 6).alias("score"))
 
 
-register("more_like_this", _like_one, _like_sql("doc_id = 687", 20))
+register("more_like_this", _like_one, _like_sql("doc_id = 69", 20))
 register("more_like_this_batch", _like_all, _like_sql("true", 5))
 
 _BATCH_SQL = r"""

@@ -81,7 +81,7 @@ def _canonical_v6(flat: Column) -> Column:
         head, rest = groups_of(F.get(halves, F.lit(0))), groups_of(F.get(halves, F.lit(1)))
         missing = F.lit(8) - F.size(head) - F.size(rest)
         padded = F.concat(head, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), rest)
-        complete = (F.size(halves) == 1) | ((F.size(halves) == 2) & (missing >= 1))
+        complete = ((F.size(halves) == 1) & (missing == 0)) | ((F.size(halves) == 2) & (missing >= 1))
         return F.when(complete, F.transform(padded, lambda g: F.regexp_replace(g, "^0+(?=.)", "")))
 
     def shown(groups: Column) -> Column:

@@ -164,6 +164,9 @@ def aggregate(corpus: Corpus, aggs: Sequence[Agg], query: Query | None = None,
     aggregation that also computes its sub-metrics. Numeric metrics of nothing
     are 0.0 unless ``empty_as_null``.
     """
+    for a in aggs:
+        if not isinstance(a, (*METRICS, *BUCKETS, Concat)):
+            raise RequestError(f"not an aggregation: {a!r}")
     names = [a.name for a in aggs]
     if len(set(names)) != len(names):
         raise RequestError(f"aggregation names must be unique: {names}")
@@ -210,7 +213,10 @@ class _Plan:
 
     # -- validation ------------------------------------------------------------
 
-    def check(self, a: Agg, nested: bool = False) -> None:
+    def check(self, a: Agg, above: tuple[str, ...] = ()) -> None:
+        nested = bool(above)
+        if a.name in (COUNT, "from", "to", *above):
+            raise RequestError(f"aggregation name {a.name!r} is taken")
         spec = self.corpus.spec(a.field)
         if isinstance(a, Concat):
             if nested:
@@ -232,8 +238,11 @@ class _Plan:
             raise RequestError("histogram interval must be positive")
         if isinstance(a, Ranges) and not a.buckets:
             raise RequestError(f"range {a.name!r} needs at least one bucket")
-        for s in getattr(a, "sub", ()):
-            self.check(s, nested=True)
+        subs = getattr(a, "sub", ())
+        if len({s.name for s in subs}) != len(subs):
+            raise RequestError(f"sub-aggregations of {a.name!r} must have different names")
+        for s in subs:
+            self.check(s, (*above, a.name))
 
     # -- metrics ---------------------------------------------------------------
 
@@ -329,9 +338,9 @@ class _Plan:
 
     # -- buckets ---------------------------------------------------------------
 
-    def keyed(self, rows: DataFrame, a: Agg) -> tuple[DataFrame, list[str]]:
-        """Rows with the bucket key(s) of ``a``; a row may fall into several buckets or none."""
-        spec, name = self.corpus.spec(a.field), a.name
+    def keyed(self, rows: DataFrame, a: Agg, name: str) -> DataFrame:
+        """Rows with the bucket key of ``a`` as ``name``; a row may fall into several buckets or none."""
+        spec = self.corpus.spec(a.field)
         if isinstance(a, Terms):
             if spec.kind == K.TEXT:
                 key = F.explode(F.array_distinct(field_slots(spec)))
@@ -339,7 +348,7 @@ class _Plan:
                 key = F.explode(F.array_distinct(spec.values()))
             else:
                 key = spec.column
-            return rows.select("*", key.alias(name)).where(F.col(name).isNotNull()), [name]
+            return rows.select("*", key.alias(name)).where(F.col(name).isNotNull())
         if spec.multi:
             rows = rows.select("*", F.explode(spec.values()).alias("__v"))
         else:
@@ -347,18 +356,18 @@ class _Plan:
         value = F.col("__v")
         if isinstance(a, Histogram):
             key = F.floor(value.cast("double") / a.interval)
-            return rows.withColumn(name, key).drop("__v"), [name]
+            return rows.withColumn(name, key).drop("__v")
         if isinstance(a, DateHistogram):
             step, shift = parse_duration(a.fixed_interval), parse_duration(a.offset)
             millis = F.unix_millis(value.cast("timestamp")) - shift
-            return rows.withColumn(name, F.floor(millis / F.lit(step))).drop("__v"), [name]
+            return rows.withColumn(name, F.floor(millis / F.lit(step))).drop("__v")
         specs = self.bucket_list(a)
         number = value.cast("double")
         fits = F.filter(
             specs,
             lambda b: (b["from"].isNull() | (number >= b["from"])) & (b["to"].isNull() | (number < b["to"])),
         )
-        return rows.select("*", F.explode(fits).alias("__b")).select("*", F.col("__b.pos").alias(name)).drop("__v", "__b"), [name]
+        return rows.select("*", F.explode(fits).alias("__b")).withColumn(name, F.col("__b.pos")).drop("__v", "__b")
 
     @staticmethod
     def bucket_list(a: Ranges) -> Column:
@@ -371,35 +380,38 @@ class _Plan:
         ])
 
     def bucket(self, rows: DataFrame, a: Agg, parents: list[str], path: str, out: dict[str, DataFrame]) -> None:
-        keyed, _ = self.keyed(rows, a)
-        keys = [*parents, a.name]
+        """``parents`` are the names of the enclosing aggregations; their keys are columns ``__k0, __k1, ...``."""
+        outer = [f"__k{i}" for i in range(len(parents))]
+        own_key = f"__k{len(parents)}"
+        keys = [*outer, own_key]
+        keyed = self.keyed(rows, a, own_key)
         own = [s for s in a.sub if isinstance(s, METRICS)]
         counts = self.metrics(keyed, keys, own, counted=True)
         if isinstance(a, Terms):
-            counts = self._largest(counts, a, parents)
-        out[path] = self._shown(counts, a, parents, own)
+            counts = self._largest(counts, a, outer, own_key)
+        shown = self._shown(counts, a, outer, own_key, own)
+        names = [*parents, a.name]
+        out[path] = shown.withColumnsRenamed(dict(zip(keys, names)))
         nested = [s for s in a.sub if isinstance(s, BUCKETS)]
         if nested and isinstance(a, Terms):  # only rows of the surviving buckets go on
             alive = counts.select(*keys)
             small = not parents and a.size <= BROADCAST_BUCKETS
             keyed = keyed.join(F.broadcast(alive) if small else alive, keys, "left_semi")
+        value = self._key_value(a, own_key)
         for s in nested:
-            sub_rows, translate = keyed, self._key_value(a)
-            if translate is not None:
-                sub_rows = keyed.withColumn(a.name, translate)
-            self.bucket(sub_rows, s, keys, f"{path}.{s.name}", out)
+            self.bucket(keyed.withColumn(own_key, value), s, names, f"{path}.{s.name}", out)
 
     @staticmethod
-    def _largest(counts: DataFrame, a: Terms, parents: list[str]) -> DataFrame:
-        order = [F.desc(COUNT), F.asc(a.name)]
-        if not parents:
+    def _largest(counts: DataFrame, a: Terms, outer: list[str], key: str) -> DataFrame:
+        order = [F.desc(COUNT), F.asc(key)]
+        if not outer:
             return counts.orderBy(*order).limit(a.size)
-        pos = F.row_number().over(W.partitionBy(*parents).orderBy(*order))
+        pos = F.row_number().over(W.partitionBy(*outer).orderBy(*order))
         return counts.withColumn("__pos", pos).where(F.col("__pos") <= a.size).drop("__pos")
 
-    def _key_value(self, a: Agg) -> Column | None:
-        """What a bucket number stands for (None: the key is the value itself)."""
-        key = F.col(a.name)
+    def _key_value(self, a: Agg, name: str) -> Column:
+        """What a bucket number stands for."""
+        key = F.col(name)
         if isinstance(a, Histogram):
             return key * F.lit(float(a.interval))
         if isinstance(a, DateHistogram):
@@ -409,28 +421,25 @@ class _Plan:
             return F.timestamp_millis(key * step + shift).cast(shown)
         if isinstance(a, Ranges):
             return F.get(self.bucket_list(a), key)["key"]
-        return None
+        return key
 
-    def _shown(self, counts: DataFrame, a: Agg, parents: list[str], own: Sequence[Agg]) -> DataFrame:
+    def _shown(self, counts: DataFrame, a: Agg, outer: list[str], key: str, own: Sequence[Agg]) -> DataFrame:
         """Fill empty buckets and turn bucket numbers into key values."""
         if isinstance(a, Terms):
             return counts
         names = [m.name for m in own]
         if isinstance(a, Ranges):
-            listed = self._all_ranges(counts, a, parents)
-            joined = listed.join(counts, [*parents, a.name], "left")
+            joined = self._all_ranges(counts, a, outer, key).join(counts, [*outer, key], "left")
         elif a.min_doc_count == 0:
-            joined = self._grid(counts, a.name, parents, [COUNT, *names]).join(counts, [*parents, a.name], "left")
+            joined = self._grid(counts, key, outer, [COUNT, *names]).join(counts, [*outer, key], "left")
         else:
             joined = counts.where(F.col(COUNT) >= a.min_doc_count)
         filled = [F.coalesce(F.col(COUNT), F.lit(0)).alias(COUNT)]
-        for m in own:
-            filled.append(self._fill(joined, m).alias(m.name))
+        filled += [self._fill(m).alias(m.name) for m in own]
         extra = ["from", "to"] if isinstance(a, Ranges) else []
-        value = self._key_value(a)
-        return joined.select(*parents, value.alias(a.name), *[f"`{e}`" for e in extra], *filled)
+        return joined.select(*outer, self._key_value(a, key).alias(key), *[f"`{e}`" for e in extra], *filled)
 
-    def _fill(self, joined: DataFrame, m: Agg) -> Column:
+    def _fill(self, m: Agg) -> Column:
         """Value of a metric in a bucket that no row fell into."""
         col = F.col(f"`{m.name}`")
         if isinstance(m, (Count, Cardinality)):
@@ -462,14 +471,14 @@ class _Plan:
         last = F.least(F.col("hi"), F.col("at") + _GRID_BLOCK - 1)
         return blocks.select(*parents, F.explode(F.sequence(F.col("at"), last)).alias(key))
 
-    def _all_ranges(self, counts: DataFrame, a: Ranges, parents: list[str]) -> DataFrame:
+    def _all_ranges(self, counts: DataFrame, a: Ranges, parents: list[str], key: str) -> DataFrame:
         """The requested buckets, once or once per parent bucket."""
         if parents:
             heads = counts.select(*parents).distinct()
         else:
             heads = self.corpus.spark.range(1)
         listed = heads.select(*parents, F.explode(self.bucket_list(a)).alias("b"))
-        return listed.select(*parents, F.col("b.pos").alias(a.name), F.col("b.from"), F.col("b.to"))
+        return listed.select(*parents, F.col("b.pos").alias(key), F.col("b.from"), F.col("b.to"))
 
 
 def _is_map(df: DataFrame, name: str) -> bool:

@@ -19,6 +19,8 @@ from textquarry.sources.fields import SORT_KINDS
 
 #: A page of hits up to this size is joined back to its rows by broadcast.
 BROADCAST_PAGE = 10_000
+#: A page comes out of its sort in one partition; larger ones are spread before highlighting.
+ONE_TASK_PAGE = 1_000
 
 
 @dataclass(frozen=True)
@@ -159,6 +161,8 @@ def search(
         slim = page.select(f"`{corpus.key()}`", "__rank", *([SCORE] if scored else []))
         small = F.broadcast(slim) if limit + offset <= BROADCAST_PAGE else slim
         page = corpus.df.join(small, corpus.key())
+    if snippets and limit + offset > ONE_TASK_PAGE:
+        page = page.repartition("__rank")
     page = add_snippets(page, corpus, query, snippets)
     head = [F.col("__rank").alias("rank")]
     if corpus.id_col:

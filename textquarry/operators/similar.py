@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textquarry.errors import RequestError
 from textquarry.functions.analysis import token_slots
-from textquarry.plans.frames import share
+from textquarry.plans.frames import keep, share
 from textquarry.plans.features import STATS, Features, scan_base
 from textquarry.plans.query import MoreLikeThis
 from textquarry.plans.scoring import bm25, idf
@@ -69,13 +69,12 @@ def _fits(rows: DataFrame, bound: int) -> bool:
 
 
 def _best_per_request(corpus: Corpus, fields: list[str], asked: DataFrame, stats: DataFrame, k: int,
-                      small: bool, frequency: bool, excluding_self: bool,
-                      rows: DataFrame | None = None) -> DataFrame:
+                      small: bool, frequency: bool, excluding_self: bool) -> DataFrame:
     """Score every (request, row) pair that shares a term and keep each request's best ``k``.
 
     ``asked`` has ``query_id, field, term, idf, weight``.
     """
-    rows = _rows(corpus, fields, frequency) if rows is None else rows
+    rows = _rows(corpus, fields, frequency)
     on = ["field", "term"]
     if small:
         pairs = rows.join(F.broadcast(asked), on)
@@ -112,17 +111,16 @@ def search_many(corpus: Corpus, queries: DataFrame, k: int = 10, *, query_id: st
         words = part if words is None else words.unionByName(part)
     small = _fits(words, BROADCAST_TERMS)
     wanted = words.groupBy("query_id", "field", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    rows = None
     if corpus.index is None and small:
-        # One analysis of the corpus gives the asked-for terms, their frequencies and the field lengths.
-        vocabulary = wanted.select("field", "term").distinct()
-        found = term_rows(corpus, fields, markers=True).join(
-            F.broadcast(vocabulary.withColumn("known", F.lit(True))), ["field", "term"], "left"
-        ).where("known OR term IS NULL")
-        rows = share(found.select("doc_id", "field", "term", "tf", "dl"))
-        stats = _stats_of_markers(rows.where("term IS NULL"))
-        rows = rows.where("term IS NOT NULL")
-        freqs = rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+        # One analysis of the corpus counts the asked-for terms, the rows and their lengths.
+        vocabulary = wanted.select("field", "term").distinct().withColumn("known", F.lit(True))
+        found = distinct_terms(corpus, fields, markers=True).join(F.broadcast(vocabulary), ["field", "term"], "left")
+        counts = share(
+            found.where("known OR term IS NULL").groupBy("field", "term")
+            .agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("total"))
+        )
+        stats = _stats_of_markers(keep(counts, F.col("term").isNull()))
+        freqs = keep(counts, F.col("term").isNotNull()).drop("total")
     else:
         stats = _corpus_stats(corpus, fields)
         freqs = _doc_freqs(corpus, fields, wanted, small)
@@ -130,15 +128,14 @@ def search_many(corpus: Corpus, queries: DataFrame, k: int = 10, *, query_id: st
         wanted.join(freqs, ["field", "term"]).withColumn(STATS, stats.scalar())
         .select("query_id", "field", "term", "weight", idf(F.col(STATS)["n"], F.col("df")).alias("idf"))
     )
-    return _best_per_request(corpus, fields, asked, stats, k, small, frequency=True, excluding_self=False, rows=rows)
+    return _best_per_request(corpus, fields, asked, stats, k, small, frequency=True, excluding_self=False)
 
 
-def _stats_of_markers(markers: DataFrame) -> DataFrame:
-    """Row count and average lengths from the one marker row per (row, field)."""
-    per_field = markers.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total"))
+def _stats_of_markers(per_field: DataFrame) -> DataFrame:
+    """Row count and average lengths from the marker counts, one row per field."""
     return per_field.agg(F.struct(
-        F.max("n").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("field", (F.col("total") / F.col("n")).alias("avg")))).alias("avg"),
+        F.max("df").alias("n"),
+        F.map_from_entries(F.collect_list(F.struct("field", (F.col("total") / F.col("df")).alias("avg")))).alias("avg"),
     ).alias(STATS))
 
 

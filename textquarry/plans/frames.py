@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.plans.compiler import Compiler, Part
 from textquarry.plans.features import STATS, Features, scan_base
 from textquarry.plans.query import All, Query
+from textquarry.plans.terms import bind
 from textquarry.sources.corpus import Corpus
 
 SCORE = "__score"
@@ -32,10 +33,16 @@ def share(frame: DataFrame) -> DataFrame:
 
     All columns are partitioning keys, so none is pruned for one consumer and
     kept for another: the plans stay equal and Spark runs the shuffle once.
+    Filter the result with ``keep``; a plain filter would move below the shuffle.
     """
     return frame.repartition(*[f"`{c}`" for c in frame.columns])
 
 
+def keep(shared: DataFrame, condition: Column) -> DataFrame:
+    """Rows of a shared frame that satisfy ``condition``, filtered above its shuffle."""
+    return bind(shared, "__keep", condition).where("__keep").drop("__keep")
+
+
 def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None,
                   among: DataFrame | None = None) -> DataFrame:
     """The rows a match is decided on, with their feature columns.
@@ -76,16 +83,17 @@ def matching(corpus: Corpus, query: Query | None, *, scored: bool = False,
     part = compiler.compile(query if query is not None else All())
     features = compiler.features
     frame = feature_frame(corpus, compiler, part, columns)
-    every = None
+    every, restrict = None, DataFrame.where
     one_pass = (
         scored and corpus.index is None and features.needs_stats and features.text_used
         and columns is not None and not set(columns) & set(corpus.text_fields)
     )
     if one_pass:
         kept = [c for c in corpus.df.columns if c in columns or c in compiler.row_fields]
+        restrict = keep
         every = frame = share(frame.select(*[f"`{c}`" for c in kept], *features.names))
-    rows = frame.where(part.match)
+    rows = restrict(frame, part.match)
     if scored:
         rows = with_stats(rows, corpus, features, every).withColumn(SCORE, part.score)
-    keep = [f"`{c}`" for c in corpus.df.columns if c in rows.columns and (columns is None or c in columns)]
-    return rows.select(*keep, *([SCORE] if scored else []))
+    shown = [f"`{c}`" for c in corpus.df.columns if c in rows.columns and (columns is None or c in columns)]
+    return rows.select(*shown, *([SCORE] if scored else []))

@@ -24,13 +24,11 @@ def token_count(slots: Column) -> Column:
     return F.size(F.array_compact(slots))
 
 
-def term_rows(corpus: Corpus, fields: list[str], df: DataFrame | None = None, positions: bool = False,
-              markers: bool = False) -> DataFrame:
+def term_rows(corpus: Corpus, fields: list[str], df: DataFrame | None = None, positions: bool = False) -> DataFrame:
     """One row per (row id, field, distinct term): ``doc_id, field, term, tf, dl[, positions]``.
 
     Tokens are sorted inside the row's own array and cut where the term
-    changes, so grouping by (row, term) costs no exchange. ``markers`` adds one
-    row without a term per (row id, field), to count rows and lengths by.
+    changes, so grouping by (row, term) costs no exchange.
     """
     key = corpus.key()
     base = corpus.df if df is None else df
@@ -59,9 +57,6 @@ def term_rows(corpus: Corpus, fields: list[str], df: DataFrame | None = None, po
                 (F.coalesce(F.get(F.col("__cut"), j + 1), size) - s).alias("tf"),
             ),
         )
-        if markers:
-            blank = F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("start"), F.lit(0).alias("tf"))
-            run = F.array_append(run, blank)
         d = d.select("doc_id", size.alias("dl"), *(["__sorted"] if positions else []), F.inline(run))
         cols = ["doc_id", F.lit(name).alias("field"), "term", "tf", "dl"]
         if positions:
@@ -74,16 +69,20 @@ def term_rows(corpus: Corpus, fields: list[str], df: DataFrame | None = None, po
     return out
 
 
-def distinct_terms(corpus: Corpus, fields: list[str]) -> DataFrame:
-    """``doc_id, field, term, dl`` like ``term_rows`` but without frequencies, which saves the sort."""
+def distinct_terms(corpus: Corpus, fields: list[str], markers: bool = False) -> DataFrame:
+    """``doc_id, field, term, dl`` like ``term_rows`` but without frequencies, which saves the sort.
+
+    ``markers`` adds one row without a term per (row id, field), to count rows and lengths by.
+    """
     key = corpus.key()
     base = spread(corpus.df.select(key, *[f for f in fields if f != key]), key)
     out = None
     for name in fields:
         d = bind(base, "__slots", F.array_compact(field_slots(corpus.spec(name))))
+        terms = F.array_distinct("__slots")
         part = d.select(
             F.col(f"`{key}`").alias("doc_id"), F.lit(name).alias("field"), F.size("__slots").alias("dl"),
-            F.explode(F.array_distinct("__slots")).alias("term"),
+            F.explode(F.array_append(terms, F.lit(None)) if markers else terms).alias("term"),
         )
         out = part if out is None else out.unionByName(part)
     return out
