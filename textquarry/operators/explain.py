@@ -48,4 +48,4 @@ def explain_scores(corpus: Corpus, query: Query, ids) -> DataFrame:
 
 
 def _number(detail: dict, name: str, kind: str):
-    return F.lit(detail.get(name)).cast(kind).alias(name) if name not in detail else detail[name].cast(kind).alias(name)
+    return F.expr(f"CAST({detail.get(name) or 'NULL'} AS {kind}) AS {name}")

@@ -51,16 +51,34 @@ def _rows(corpus: Corpus, fields: list[str], frequency: bool) -> DataFrame:
     return (term_rows if frequency else distinct_terms)(corpus, fields).select(*columns)
 
 
-def _doc_freqs(corpus: Corpus, fields: list[str], terms: DataFrame, small: bool) -> DataFrame:
-    """``field, term, df`` of the given terms."""
-    vocabulary = terms.select("field", "term").distinct()
+def _doc_freqs(corpus: Corpus, fields: list[str], few: DataFrame | None = None) -> DataFrame:
+    """``field, term, df`` of every term, or of those in ``few`` (small enough to broadcast)."""
     if corpus.index is not None:
-        return corpus.index.terms.join(F.broadcast(vocabulary) if small else vocabulary, ["field", "term"])
-    if small:  # narrow before counting, so only asked-for terms are shuffled
-        rows = _rows(corpus, fields, False).join(F.broadcast(vocabulary), ["field", "term"])
-        return rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    counts = _rows(corpus, fields, False).groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    return counts.join(vocabulary, ["field", "term"])
+        counts = corpus.index.terms.where(F.col("field").isin(fields))
+        return counts if few is None else counts.join(F.broadcast(few), ["field", "term"])
+    rows = _rows(corpus, fields, False)
+    if few is not None:  # narrow before counting, so only asked-for terms are shuffled
+        rows = rows.join(F.broadcast(few), ["field", "term"])
+    return rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _statistics(corpus: Corpus, fields: list[str], few: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Corpus statistics and document frequencies; with ``few`` terms from one analysis of the corpus."""
+    if corpus.index is not None or few is None:
+        return _corpus_stats(corpus, fields), _doc_freqs(corpus, fields, few)
+    found = distinct_terms(corpus, fields, markers=True).join(
+        F.broadcast(few.withColumn("known", F.lit(True))), ["field", "term"], "left"
+    )
+    counts = share(
+        found.where("known OR term IS NULL").groupBy("field", "term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("total"))
+    )
+    # The rows without a term, one per field, count the corpus and its lengths.
+    stats = keep(counts, F.col("term").isNull()).agg(F.struct(
+        F.max("df").alias("n"),
+        F.map_from_entries(F.collect_list(F.struct("field", (F.col("total") / F.col("df")).alias("avg")))).alias("avg"),
+    ).alias(STATS))
+    return stats, keep(counts, F.col("term").isNotNull()).drop("total")
 
 
 def _fits(rows: DataFrame, bound: int) -> bool:
@@ -111,19 +129,7 @@ def search_many(corpus: Corpus, queries: DataFrame, k: int = 10, *, query_id: st
         words = part if words is None else words.unionByName(part)
     small = _fits(words, BROADCAST_TERMS)
     wanted = words.groupBy("query_id", "field", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    if corpus.index is None and small:
-        # One analysis of the corpus counts the asked-for terms, the rows and their lengths.
-        vocabulary = wanted.select("field", "term").distinct().withColumn("known", F.lit(True))
-        found = distinct_terms(corpus, fields, markers=True).join(F.broadcast(vocabulary), ["field", "term"], "left")
-        counts = share(
-            found.where("known OR term IS NULL").groupBy("field", "term")
-            .agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("total"))
-        )
-        stats = _stats_of_markers(keep(counts, F.col("term").isNull()))
-        freqs = keep(counts, F.col("term").isNotNull()).drop("total")
-    else:
-        stats = _corpus_stats(corpus, fields)
-        freqs = _doc_freqs(corpus, fields, wanted, small)
+    stats, freqs = _statistics(corpus, fields, wanted.select("field", "term").distinct() if small else None)
     asked = (
         wanted.join(freqs, ["field", "term"]).withColumn(STATS, stats.scalar())
         .select("query_id", "field", "term", "weight", idf(F.col(STATS)["n"], F.col("df")).alias("idf"))
@@ -131,17 +137,12 @@ def search_many(corpus: Corpus, queries: DataFrame, k: int = 10, *, query_id: st
     return _best_per_request(corpus, fields, asked, stats, k, small, frequency=True, excluding_self=False)
 
 
-def _stats_of_markers(per_field: DataFrame) -> DataFrame:
-    """Row count and average lengths from the marker counts, one row per field."""
-    return per_field.agg(F.struct(
-        F.max("df").alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("field", (F.col("total") / F.col("df")).alias("avg")))).alias("avg"),
-    ).alias(STATS))
-
-
 def _telling_terms(corpus: Corpus, fields: list[str], sources: DataFrame, like: MoreLikeThis,
-                   stats: DataFrame, small: bool) -> DataFrame:
-    """Per source row its terms of highest tf*idf: ``query_id, field, term, idf, weight``."""
+                   stats: DataFrame | None, small: bool) -> DataFrame:
+    """Per source row its terms of highest tf*idf: ``query_id, field, term, idf, weight``.
+
+    ``stats`` may be left out for one source (``small``), whose terms are few.
+    """
     own = term_rows(corpus, fields, df=sources).withColumnRenamed("doc_id", "query_id")
     if like.min_term_frequency is not None:
         own = own.where(F.col("tf") >= like.min_term_frequency)
@@ -151,7 +152,10 @@ def _telling_terms(corpus: Corpus, fields: list[str], sources: DataFrame, like:
         own = own.where(F.length("term") <= like.max_word_length)
     if like.stop_words:
         own = own.where(~F.col("term").isin(list(like.stop_words)))
-    freqs = _doc_freqs(corpus, fields, own, small)
+    if small:
+        stats, freqs = _statistics(corpus, fields, own.select("field", "term").distinct())
+    else:
+        freqs = _doc_freqs(corpus, fields)
     if like.min_doc_frequency is not None:
         freqs = freqs.where(F.col("df") >= like.min_doc_frequency)
     if like.max_doc_frequency is not None:
@@ -213,7 +217,7 @@ def telling_terms(corpus: Corpus, like: MoreLikeThis) -> list[tuple[str, str, fl
     key = corpus.key()
     spec = corpus.spec(key)
     source = corpus.df.where(spec.any_value(lambda v: v == literal(spec, like.source_id))).limit(1)
-    found = _telling_terms(corpus, fields, source, like, _corpus_stats(corpus, fields), small=True)
+    found = _telling_terms(corpus, fields, source, like, None, small=True)
     rows = found.orderBy(F.desc("weight"), "field", "term").collect()
     if not rows and source.isEmpty():
         raise RequestError(f"more_like_this: no row with {key} = {like.source_id!r}")

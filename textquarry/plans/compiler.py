@@ -14,7 +14,7 @@ from textquarry.functions.values import facet_path, ip_canonical, under_facet
 from textquarry.plans import query as Q
 from textquarry.plans.edits import within_edits
 from textquarry.plans.features import Features, PhraseSpec
-from textquarry.plans.scoring import bm25
+from textquarry.plans.scoring import bm25_sql
 from textquarry.sources import fields as K
 from textquarry.sources.corpus import Corpus
 
@@ -92,23 +92,23 @@ class Compiler:
             return Part(self.features.test(spec.name, predicate), F.lit(1.0), needs_text=True)
         return Part(spec.any_value(predicate), F.lit(1.0))
 
-    def _scored(self, part: Part, tf, df, idf, length, avg, **names) -> Part:
-        part.score = bm25(tf, length, idf, avg)
+    def _scored(self, part: Part, tf: str, df: str | None, idf: str, length: str, avg: str, **names) -> Part:
+        part.score = F.expr(bm25_sql(tf, length, idf, avg))
         part.facts = dict(tf=tf, df=df, idf=idf, length=length, **names)
         return part
 
     def _text_term(self, name: str, term: str, frequency: bool) -> Part:
         tf = self.features.tf(name, term)
         df, idf = self.features.doc_freq(name, term)
-        used = tf if frequency else F.least(tf, F.lit(1))
-        part = Part(tf > 0, F.lit(0.0), needs_text=True)
-        return self._scored(part, used, df, idf, self.features.length(name),
+        part = Part(F.expr(f"{tf} > 0"), F.lit(0.0), needs_text=True)
+        return self._scored(part, tf if frequency else f"least({tf}, 1)", df, idf, self.features.length(name),
                             self.features.avg_length(name), field=name, term=term)
 
     def _value_term(self, spec: K.FieldSpec, match: Column, term: str) -> Part:
-        n_values = F.size(spec.values()) if spec.multi else F.when(spec.column.isNotNull(), 1).otherwise(0)
-        df, idf, avg = self.features.row_freq(match, n_values)
-        return self._scored(Part(match, F.lit(0.0)), F.lit(1), df, idf, n_values, avg, field=spec.name, term=term)
+        quoted = f"`{spec.name}`"
+        present = f"coalesce(size(array_compact({quoted})), 0)" if spec.multi else f"int({quoted} IS NOT NULL)"
+        df, idf, avg = self.features.row_freq(match, F.expr(present))
+        return self._scored(Part(match, F.lit(0.0)), "1", df, idf, present, avg, field=spec.name, term=term)
 
     # -- leaves ----------------------------------------------------------------
 
@@ -271,11 +271,10 @@ class Compiler:
 
     def _phrase(self, spec: PhraseSpec, scored_terms) -> Part:
         tf = self.features.phrase(spec)
-        parts = [self.features.doc_freq(spec.field, t) for t in scored_terms]
-        total_idf = reduce(lambda a, b: a + b, [i for _, i in parts])
-        return self._scored(Part(tf > 0, F.lit(0.0), needs_text=True), tf, F.lit(None).cast("long"), total_idf,
-                            self.features.length(spec.field), self.features.avg_length(spec.field),
-                            field=spec.field, term=" ".join(spec.terms))
+        idfs = " + ".join(self.features.doc_freq(spec.field, t)[1] for t in scored_terms)
+        part = Part(F.expr(f"{tf} > 0"), F.lit(0.0), needs_text=True)
+        return self._scored(part, tf, None, f"({idfs})", self.features.length(spec.field),
+                            self.features.avg_length(spec.field), field=spec.field, term=" ".join(spec.terms))
 
     # -- combinations ----------------------------------------------------------
 

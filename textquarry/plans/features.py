@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.functions.analysis import field_slots
-from textquarry.plans.scoring import idf
+from textquarry.plans.scoring import idf_sql
 from textquarry.plans.terms import bind, token_count
 from textquarry.sources.corpus import Corpus, spread
 
@@ -57,19 +57,19 @@ class Features:
 
     # -- registration ----------------------------------------------------------
 
-    def tf(self, field: str, term: str) -> Column:
-        return F.col(self.terms.setdefault((field, term), f"__t{len(self.terms)}"))
+    def tf(self, field: str, term: str) -> str:
+        return self.terms.setdefault((field, term), f"__t{len(self.terms)}")
 
     def test(self, field: str, predicate: Callable[[Column], Column]) -> Column:
         name = f"__m{len(self.tests)}"
         self.tests[name] = (field, predicate)
         return F.col(name)
 
-    def phrase(self, spec: PhraseSpec) -> Column:
-        return F.col(self.phrases.setdefault(spec, f"__p{len(self.phrases)}"))
+    def phrase(self, spec: PhraseSpec) -> str:
+        return self.phrases.setdefault(spec, f"__p{len(self.phrases)}")
 
-    def length(self, field: str) -> Column:
-        return F.col(self.lengths.setdefault(field, f"__len{len(self.lengths)}"))
+    def length(self, field: str) -> str:
+        return self.lengths.setdefault(field, f"__len{len(self.lengths)}")
 
     def lookup(self, frame: DataFrame) -> str:
         """Attach a one-row, one-column result (a scalar subquery) to every row."""
@@ -77,22 +77,22 @@ class Features:
         self.lookups[name] = frame
         return name
 
-    def doc_freq(self, field: str, term: str) -> tuple[Column, Column]:
+    def doc_freq(self, field: str, term: str) -> tuple[str, str]:
         """(df, idf) of a term; the term becomes a feature of the statistics pass."""
         self.tf(field, term)
         name = self.term_stats.setdefault((field, term), f"t{len(self.term_stats)}")
-        return F.col(f"{STATS}.df_{name}"), F.col(f"{STATS}.idf_{name}")
+        return f"{STATS}.df_{name}", f"{STATS}.idf_{name}"
 
-    def avg_length(self, field: str) -> Column:
+    def avg_length(self, field: str) -> str:
         self.length(field)
         name = self.length_stats.setdefault(field, f"len{len(self.length_stats)}")
-        return F.col(f"{STATS}.avg_{name}")
+        return f"{STATS}.avg_{name}"
 
-    def row_freq(self, match: Column, n_values: Column) -> tuple[Column, Column, Column]:
+    def row_freq(self, match: Column, n_values: Column) -> tuple[str, str, str]:
         """(df, idf, average value count) of a test on plain columns."""
         name = f"r{len(self.row_stats)}"
         self.row_stats[name] = (match, n_values)
-        return tuple(F.col(f"{STATS}.{s}_{name}") for s in ("df", "idf", "avg"))
+        return tuple(f"{STATS}.{s}_{name}" for s in ("df", "idf", "avg"))
 
     # -- computing -------------------------------------------------------------
 
@@ -145,7 +145,7 @@ class Features:
         """One row of counts over ``frame``, the features of every row (a partial aggregate)."""
         aggs = [F.count(F.lit(1)).alias("n")]
         for key, s in self.term_stats.items():
-            aggs.append(F.count_if(F.col(self.terms[key]) > 0).alias(f"df_{s}"))
+            aggs.append(F.expr(f"count_if({self.terms[key]} > 0) AS df_{s}"))
         for field, s in self.length_stats.items():
             aggs.append(F.sum(self.lengths[field]).alias(f"sum_{s}"))
         for s, (match, n_values) in self.row_stats.items():
@@ -154,13 +154,12 @@ class Features:
 
     def stats_struct(self, totals: DataFrame) -> DataFrame:
         """Raw totals to the struct the score columns read."""
-        n = F.col("n")
-        cols = [n]
+        cols = ["n"]
         for s in [*self.term_stats.values(), *self.row_stats]:
-            cols += [F.col(f"df_{s}"), idf(n, F.col(f"df_{s}")).alias(f"idf_{s}")]
+            cols += [f"df_{s}", f"{idf_sql('n', f'df_{s}')} AS idf_{s}"]
         for s in [*self.length_stats.values(), *self.row_stats]:
-            cols.append((F.col(f"sum_{s}") / n).alias(f"avg_{s}"))
-        return totals.select(F.struct(*cols).alias(STATS))
+            cols.append(f"sum_{s} / n AS avg_{s}")
+        return totals.select(F.expr(f"struct({', '.join(cols)})").alias(STATS))
 
 
 def _one_of(terms: list[str]) -> Callable[[Column], Column]:
