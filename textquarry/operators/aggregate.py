@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from textquarry.errors import RequestError
 from textquarry.functions.analysis import field_slots
 from textquarry.operators.search import Relevance, sort_columns
-from textquarry.plans.frames import matching
+from textquarry.plans.frames import matching, share
 from textquarry.plans.query import Query
 from textquarry.sources import fields as K
 from textquarry.sources.corpus import Corpus
@@ -427,11 +427,12 @@ class _Plan:
         """Fill empty buckets and turn bucket numbers into key values."""
         if isinstance(a, Terms):
             return counts
-        names = [m.name for m in own]
         if isinstance(a, Ranges):
+            counts = share(counts) if outer else counts
             joined = self._all_ranges(counts, a, outer, key).join(counts, [*outer, key], "left")
         elif a.min_doc_count == 0:
-            joined = self._grid(counts, key, outer, [COUNT, *names]).join(counts, [*outer, key], "left")
+            counts = share(counts)
+            joined = self._grid(counts, key, outer).join(counts, [*outer, key], "left")
         else:
             joined = counts.where(F.col(COUNT) >= a.min_doc_count)
         filled = [F.coalesce(F.col(COUNT), F.lit(0)).alias(COUNT)]
@@ -455,15 +456,12 @@ class _Plan:
         return col if isinstance(m, Percentiles) else F.coalesce(col, F.lit(0.0))
 
     @staticmethod
-    def _grid(counts: DataFrame, key: str, parents: list[str], others: list[str]) -> DataFrame:
+    def _grid(counts: DataFrame, key: str, parents: list[str]) -> DataFrame:
         """Every bucket number between the first and last of each parent.
 
-        The bounds read all columns of ``counts`` (inside a struct) on purpose:
-        both uses then share one shuffle. Numbers are produced in blocks, so no
-        array grows with the span.
+        Numbers are produced in blocks, so no array grows with the span.
         """
-        whole = F.struct(F.col(key).alias("k"), *[f"`{c}`" for c in others if not _is_map(counts, c)])
-        bounds = counts.groupBy(*parents).agg(F.min(whole)["k"].alias("lo"), F.max(whole)["k"].alias("hi"))
+        bounds = counts.groupBy(*parents).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
         bounds = bounds.where(F.col("lo").isNotNull())
         blocks = bounds.select(
             *parents, "hi", F.explode(F.sequence("lo", "hi", F.lit(_GRID_BLOCK).cast("bigint"))).alias("at")
@@ -481,10 +479,6 @@ class _Plan:
         return listed.select(*parents, F.col("b.pos").alias(key), F.col("b.from"), F.col("b.to"))
 
 
-def _is_map(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.MapType)
-
-
 def _texts(spec: K.FieldSpec) -> Column:
     """Values as concat prints them."""
     def shown(v: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textquarry.errors import RequestError
 from textquarry.functions.values import facet_child, facet_path
-from textquarry.plans.frames import matching
+from textquarry.plans.frames import matching, share
 from textquarry.plans.query import Query
 from textquarry.sources.corpus import Corpus
 from textquarry.sources.fields import FACET
@@ -46,11 +46,9 @@ def facet_counts(corpus: Corpus, facets: Sequence[Facet], query: Query | None =
             labels = rows.select(F.explode(children).alias("label"))
         else:
             labels = rows.select(facet_child(spec.column, where).alias("label")).where(F.col("label").isNotNull())
-        counts = labels.groupBy("label").agg(F.count(F.lit(1)).alias("count"))
+        counts = share(labels.groupBy("label").agg(F.count(F.lit(1)).alias("count")))
         totals = counts.agg(F.struct(
-            F.sum("count").alias("total_count"),
-            # reading the label too keeps this subquery on the shuffle of `counts`
-            F.count("label").alias("child_count"),
+            F.sum("count").alias("total_count"), F.count(F.lit(1)).alias("child_count"),
         ).alias("t"))
         part = (
             counts.orderBy(F.desc("count"), "label").limit(facet.limit)

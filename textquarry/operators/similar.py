@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textquarry.errors import RequestError
 from textquarry.functions.analysis import token_slots
-from textquarry.plans.frames import keep, share
+from textquarry.plans.frames import share
 from textquarry.plans.features import STATS, Features, scan_base
 from textquarry.plans.query import MoreLikeThis
 from textquarry.plans.scoring import bm25, idf
@@ -74,11 +74,11 @@ def _statistics(corpus: Corpus, fields: list[str], few: DataFrame | None) -> tup
         .agg(F.count(F.lit(1)).alias("df"), F.sum("dl").alias("total"))
     )
     # The rows without a term, one per field, count the corpus and its lengths.
-    stats = keep(counts, F.col("term").isNull()).agg(F.struct(
+    stats = counts.where("term IS NULL").agg(F.struct(
         F.max("df").alias("n"),
         F.map_from_entries(F.collect_list(F.struct("field", (F.col("total") / F.col("df")).alias("avg")))).alias("avg"),
     ).alias(STATS))
-    return stats, keep(counts, F.col("term").isNotNull()).drop("total")
+    return stats, counts.where("term IS NOT NULL").drop("total")
 
 
 def _fits(rows: DataFrame, bound: int) -> bool:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textquarry.plans.compiler import Compiler, Part
 from textquarry.plans.features import STATS, Features, scan_base
 from textquarry.plans.query import All, Query
-from textquarry.plans.terms import bind
 from textquarry.sources.corpus import Corpus
 
 SCORE = "__score"
@@ -31,16 +31,13 @@ def with_stats(df: DataFrame, corpus: Corpus, features: Features, frame: DataFra
 def share(frame: DataFrame) -> DataFrame:
     """Put a shuffle under ``frame`` that several consumers in one query can reuse.
 
-    All columns are partitioning keys, so none is pruned for one consumer and
-    kept for another: the plans stay equal and Spark runs the shuffle once.
-    Filter the result with ``keep``; a plain filter would move below the shuffle.
+    Spark runs equal shuffles once, but consumers differ in the filters and
+    columns they would push below it. Packing and unpacking the whole row above
+    the shuffle keeps both there.
     """
-    return frame.repartition(*[f"`{c}`" for c in frame.columns])
-
-
-def keep(shared: DataFrame, condition: Column) -> DataFrame:
-    """Rows of a shared frame that satisfy ``condition``, filtered above its shuffle."""
-    return bind(shared, "__keep", condition).where("__keep").drop("__keep")
+    keys = [f"`{f.name}`" for f in frame.schema.fields if not isinstance(f.dataType, T.MapType)]
+    shuffled = frame.repartition(*keys)
+    return shuffled.select(F.explode(F.array(F.struct("*"))).alias("__row")).select("__row.*")
 
 
 def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None,
@@ -83,16 +80,15 @@ def matching(corpus: Corpus, query: Query | None, *, scored: bool = False,
     part = compiler.compile(query if query is not None else All())
     features = compiler.features
     frame = feature_frame(corpus, compiler, part, columns)
-    every, restrict = None, DataFrame.where
+    every = None
     one_pass = (
         scored and corpus.index is None and features.needs_stats and features.text_used
         and columns is not None and not set(columns) & set(corpus.text_fields)
     )
     if one_pass:
         kept = [c for c in corpus.df.columns if c in columns or c in compiler.row_fields]
-        restrict = keep
         every = frame = share(frame.select(*[f"`{c}`" for c in kept], *features.names))
-    rows = restrict(frame, part.match)
+    rows = frame.where(part.match)
     if scored:
         rows = with_stats(rows, corpus, features, every).withColumn(SCORE, part.score)
     shown = [f"`{c}`" for c in corpus.df.columns if c in rows.columns and (columns is None or c in columns)]

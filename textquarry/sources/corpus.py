@@ -11,14 +11,19 @@ from textquarry.sources.fields import TEXT, FieldSpec, resolve_fields
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a scan that has fewer partitions than the cluster has slots.
+    """Redistribute an input too small to give every core a file split.
 
-    A small file read by one task would leave the other cores idle while text
-    is being analysed. Large inputs have more partitions than slots and pass
-    through untouched, so this never shuffles data at scale.
+    A small file is read by one task, which would leave the other cores idle
+    while text is being analysed. The decision uses the optimizer's size
+    estimate, so nothing runs; an input of some gigabytes per hundred cores, or
+    of unknown size, passes through and is never shuffled for this.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    split_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split)
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(slots, key) if estimate * 4 < slots * split_bytes else df
 
 
 class Corpus:
