@@ -146,6 +146,29 @@ def test_index_and_scan_agree_and_explain_adds_up(lines, indexed, i):
     assert [h.id for h in hits] == [h.id for h in search(lines, query, limit=10).collect()]
 
 
+def test_set_from_a_table(lines, indexed, spark):
+    wanted = spark.createDataFrame([("a",), ("a",), ("e",), (None,)], "v string")
+    assert found(lines, q.In("id", wanted)) == "ae"
+    for corpus in (lines, indexed):
+        assert found(corpus, q.Bool(must=[M("fox")], filter=[q.In("id", wanted)])) == "a"
+        assert found(corpus, q.Bool(must=[M("fox")], must_not=[q.In("id", wanted)])) == "bc"
+        assert list(_scores(corpus, q.Bool(must=[M("fox"), q.In("id", wanted)]))) == ["a"]
+    with pytest.raises(q.LiteralError):
+        found(lines, q.In("n", wanted))
+    with pytest.raises(RequestError):
+        found(lines, q.In("body", wanted))
+
+
+def test_response(people):
+    from textquarry.operators.facets import Facet
+    from textquarry.operators.search import respond
+
+    r = respond(people, q.Range("age", gte=30), limit=1, count_total=True, facets=[Facet("category")])
+    assert (r.hits.count(), r.total.first().total, r.facets.first()["count"]) == (1, 2, 2)
+    bare = respond(people)
+    assert bare.total is None and bare.facets is None
+
+
 def test_bm25_by_hand(spark):
     df = spark.createDataFrame([("a", "x y"), ("b", "x x x z"), ("c", "y")], "id string, t string")
     got = _scores(Corpus(df, "id", {"t": text()}), M("x"))

@@ -62,6 +62,15 @@ register("range_string", _rows(customer, q.Range("c_name", gt="Customer#00000010
 register("in_set", _rows(orders, q.In("o_orderpriority", ["1-URGENT", "5-LOW"]), "o_orderkey"),
          "SELECT o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')")
 
+register(
+    "in_table",
+    lambda spark, sf: matches(
+        customer(spark, sf),
+        q.Bool(must=[q.All()], must_not=[q.In("c_custkey", table(spark, sf, "orders").where("o_totalprice > 400000").select("o_custkey"))]),
+    ).select("c_custkey"),
+    "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)",
+)
+
 
 def _with_gaps(spark, sf):
     df = table(spark, sf, "part").withColumn("size_or_null", F.nullif(F.col("p_size"), F.lit(11)))

@@ -250,7 +250,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, doc_id)
 def _explain(spark, sf):
     corpus = docs(spark, sf)
     query = q.Bool(must=[q.Match("the")], should=[q.Boost(q.Term("text", "of"), 2.0)])
-    rows = explain_scores(corpus, query, corpus.df.select("doc_id"))
+    rows = explain_scores(corpus, query)
     return rows.where("matched AND term IS NOT NULL AND node <> 'Match'").select(
         "doc_id", "term", "tf", "df", "length", F.round("idf", 6).alias("idf"),
         F.round("contribution", 6).alias("contribution"),

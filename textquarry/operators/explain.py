@@ -6,29 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.plans.compiler import Compiler
-from textquarry.plans.frames import feature_frame, with_stats
+from textquarry.plans.frames import scoring_frame
 from textquarry.plans.query import Query
 from textquarry.sources.corpus import Corpus
 from textquarry.sources.fields import literal
 
 
-def explain_scores(corpus: Corpus, query: Query, ids) -> DataFrame:
+def explain_scores(corpus: Corpus, query: Query, ids=None) -> DataFrame:
     """One row per (row id, query node): what it saw and what it contributed.
 
-    ``ids`` is a list of ids or a DataFrame with the id column. ``path`` places
+    ``ids`` is a list of ids, a DataFrame with the id column, or None for every row. ``path`` places
     the node in the query tree; the row with path "0" carries the total. Unknown
     ids give no rows. Statistics are those of the whole corpus.
     """
     key = corpus.key()
-    if not isinstance(ids, DataFrame):
+    if ids is not None and not isinstance(ids, DataFrame):
         spec = corpus.spec(key)
         for v in ids:
             literal(spec, v)
         ids = corpus.spark.createDataFrame([(v,) for v in ids], corpus.df.select(key).schema)
     compiler = Compiler(corpus)
     part = compiler.compile(query)
-    frame = feature_frame(corpus, compiler, part, [key], among=ids.select(key))
-    frame = with_stats(frame, corpus, compiler.features)
+    frame = scoring_frame(corpus, compiler, part, [key])
+    if ids is not None:
+        frame = frame.join(ids.select(key), key, "left_semi")
     nodes = [
         F.struct(
             F.lit(d["path"]).alias("path"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textquarry.errors import RequestError
+from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.snippets import Snippet, add_snippets
 from textquarry.plans.frames import SCORE, matching
 from textquarry.plans.query import Query
@@ -192,3 +193,22 @@ def matches(corpus: Corpus, query: Query | None = None, *, scored: bool = False,
 def count(corpus: Corpus, query: Query | None = None) -> DataFrame:
     """Number of matching rows as a one-row DataFrame ``total``."""
     return matching(corpus, query, columns=[]).agg(F.count(F.lit(1)).alias("total"))
+
+
+@dataclass
+class Response:
+    """Everything one search request can ask for; each part is a lazy DataFrame."""
+
+    hits: DataFrame
+    total: DataFrame | None = None
+    facets: DataFrame | None = None
+
+
+def respond(corpus: Corpus, query: Query | None = None, *, count_total: bool = False,
+            facets: Sequence[Facet] = (), **options) -> Response:
+    """A page of hits (see ``search``) with, if asked for, the exact total and facet counts of all matches."""
+    return Response(
+        search(corpus, query, **options),
+        count(corpus, query) if count_total else None,
+        facet_counts(corpus, facets, query) if facets else None,
+    )

@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce, singledispatchmethod
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.errors import RequestError
+from textquarry.errors import LiteralError, RequestError
 from textquarry.functions.analysis import analyze_literals
 from textquarry.functions.values import facet_path, ip_canonical, under_facet
 from textquarry.plans import query as Q
@@ -171,6 +171,12 @@ class Compiler:
         spec = self._spec(q.field)
         if spec.kind == K.JSON:
             raise RequestError(f"set query on json field {q.field!r}")
+        if isinstance(q.values, DataFrame):
+            if spec.multi or spec.kind not in K.TABLE_SET_KINDS:
+                raise RequestError(f"a table of values needs a single-valued plain field, not {q.field!r}")
+            if q.values.schema[0].dataType != spec.data_type:
+                raise LiteralError(f"values of {q.field!r} must be {spec.data_type.simpleString()}")
+            return Part(F.col(self.features.member(q.field, q.values)), F.lit(1.0))
         values = [K.literal(spec, v) for v in q.values]
         if not values:
             return Part(F.lit(False), F.lit(0.0), needs_text=True)

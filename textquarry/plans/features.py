@@ -51,6 +51,7 @@ class Features:
         self.phrases: dict[PhraseSpec, str] = {}
         self.lengths: dict[str, str] = {}
         self.lookups: dict[str, DataFrame] = {}
+        self.sets: dict[str, tuple[str, DataFrame]] = {}
         self.term_stats: dict[tuple[str, str], str] = {}
         self.length_stats: dict[str, str] = {}
         self.row_stats: dict[str, tuple[Column, Column]] = {}
@@ -77,6 +78,12 @@ class Features:
         self.lookups[name] = frame
         return name
 
+    def member(self, column: str, values: DataFrame) -> str:
+        """Whether a plain column's value is among the rows of ``values`` (a join, not a list)."""
+        name = f"__in{len(self.sets)}"
+        self.sets[name] = (column, values)
+        return name
+
     def doc_freq(self, field: str, term: str) -> tuple[str, str]:
         """(df, idf) of a term; the term becomes a feature of the statistics pass."""
         self.tf(field, term)
@@ -105,7 +112,13 @@ class Features:
     @property
     def names(self) -> list[str]:
         """The columns ``scan_frame`` adds."""
-        return [*self.terms.values(), *self.tests, *self.phrases.values(), *self.lengths.values()]
+        return [*self.sets, *self.terms.values(), *self.tests, *self.phrases.values(), *self.lengths.values()]
+
+    def attach_sets(self, df: DataFrame) -> DataFrame:
+        for name, (column, values) in self.sets.items():
+            listed = values.select(F.col(values.columns[0]).alias("__value")).distinct().withColumn(name, F.lit(True))
+            df = df.join(listed, F.col(f"`{column}`") == F.col("__value"), "left").drop("__value")
+        return df
 
     def attach_lookups(self, df: DataFrame) -> DataFrame:
         return df.withColumns({n: f.scalar() for n, f in self.lookups.items()}) if self.lookups else df
@@ -113,6 +126,7 @@ class Features:
     def scan_frame(self, df: DataFrame) -> DataFrame:
         """``df`` with one column per feature, from one analysis of each text."""
         fields = self.text_used
+        df = self.attach_sets(df)
         if not fields:
             return df
         slot = {f: f"__slots{i}" for i, f in enumerate(fields)}

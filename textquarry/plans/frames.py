@@ -40,56 +40,54 @@ def share(frame: DataFrame) -> DataFrame:
     return shuffled.select(F.explode(F.array(F.struct("*"))).alias("__row")).select("__row.*")
 
 
-def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None,
-                  among: DataFrame | None = None) -> DataFrame:
+def feature_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None) -> DataFrame:
     """The rows a match is decided on, with their feature columns.
 
-    ``columns`` lists the corpus columns needed later (None: all of them);
-    ``among`` restricts the rows to the ids it holds.
+    ``columns`` lists the corpus columns needed later (None: all of them).
     """
     features = compiler.features
     if corpus.index is None or not features.text_used:
-        if among is not None:
-            return features.scan_frame(corpus.df.join(among, corpus.key(), "left_semi"))
         return features.scan_frame(scan_base(corpus, features))
     key = corpus.key()
     frame = corpus.index.frame(features).withColumnRenamed("doc_id", key)
-    if among is not None:
-        frame = frame.join(among, key, "left_semi")
     wanted = set(corpus.df.columns if columns is None else columns) | compiler.row_fields
-    if part.needs_text and not wanted - {key}:
+    if part.needs_text and not wanted - {key} and not features.sets:
         return frame
-    rows = corpus.df.select(key, *sorted(wanted - {key}))
-    if among is not None:
-        rows = rows.join(among, key, "left_semi")
+    rows = features.attach_sets(corpus.df.select(key, *sorted(wanted - {key})))
     if part.needs_text:
         return rows.join(frame, key)
     missing = {n: 0 for n in [*features.terms.values(), *features.phrases.values(), *features.lengths.values()]}
     return rows.join(frame, key, "left").fillna(missing | {n: False for n in features.tests})
 
 
-def matching(corpus: Corpus, query: Query | None, *, scored: bool = False,
-             columns: list[str] | None = None) -> DataFrame:
-    """Rows that match ``query``, plus a ``__score`` column if ``scored``.
+def scoring_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[str] | None) -> DataFrame:
+    """Rows with their features and the corpus statistics attached.
 
-    Scoring needs corpus statistics as well as the features of the matching
-    rows. When no text has to be returned, the small feature rows of one
+    Scoring needs statistics over all rows as well as the features of single
+    ones. When no text has to be returned, the small feature rows of one
     analysis serve both; otherwise the text is analysed once for each.
     """
-    compiler = Compiler(corpus)
-    part = compiler.compile(query if query is not None else All())
     features = compiler.features
     frame = feature_frame(corpus, compiler, part, columns)
-    every = None
     one_pass = (
-        scored and corpus.index is None and features.needs_stats and features.text_used
+        corpus.index is None and features.needs_stats and features.text_used
         and columns is not None and not set(columns) & set(corpus.text_fields)
     )
-    if one_pass:
-        kept = [c for c in corpus.df.columns if c in columns or c in compiler.row_fields]
-        every = frame = share(frame.select(*[f"`{c}`" for c in kept], *features.names))
-    rows = frame.where(part.match)
+    if not one_pass:
+        return with_stats(frame, corpus, features)
+    kept = [c for c in corpus.df.columns if c in columns or c in compiler.row_fields]
+    frame = share(frame.select(*[f"`{c}`" for c in kept], *features.names))
+    return with_stats(frame, corpus, features, frame)
+
+
+def matching(corpus: Corpus, query: Query | None, *, scored: bool = False,
+             columns: list[str] | None = None) -> DataFrame:
+    """Rows that match ``query``, plus a ``__score`` column if ``scored``."""
+    compiler = Compiler(corpus)
+    part = compiler.compile(query if query is not None else All())
     if scored:
-        rows = with_stats(rows, corpus, features, every).withColumn(SCORE, part.score)
+        rows = scoring_frame(corpus, compiler, part, columns).where(part.match).withColumn(SCORE, part.score)
+    else:
+        rows = feature_frame(corpus, compiler, part, columns).where(part.match)
     shown = [f"`{c}`" for c in corpus.df.columns if c in rows.columns and (columns is None or c in columns)]
     return rows.select(*shown, *([SCORE] if scored else []))

@@ -50,10 +50,10 @@ class Range(Query):
 
 @dataclass(frozen=True)
 class In(Query):
-    """Any of a set of values."""
+    """Any of a set of values: a list, or for large sets a DataFrame whose first column holds them."""
 
     field: str
-    values: Sequence[Any]
+    values: Any
 
 
 @dataclass(frozen=True)

@@ -104,12 +104,16 @@ class Corpus:
         """Write as Parquet and return the corpus reading it back."""
         writer = self.tagged().write.mode(mode)
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        return Corpus.open(self.spark, path, self.id_col, self.seq_col)
+        return Corpus.open(self.spark, path, self.id_col, self.seq_col, self.unique_ids)
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, id_col: str | None = None, seq_col: str | None = None) -> Corpus:
-        """Open a saved corpus. Kinds and analyzers come with the data; the id is named again."""
-        return cls(spark.read.parquet(path), id_col, seq_col=seq_col)
+    def open(cls, spark: SparkSession, path: str, id_col: str | None = None, seq_col: str | None = None,
+             unique_ids: bool = False) -> Corpus:
+        """Open a saved corpus. Kinds and analyzers come with the data; the id is named again.
+
+        Other formats: read them with Spark and declare the fields, ``Corpus(spark.read.json(...), ...)``.
+        """
+        return cls(spark.read.parquet(path), id_col, seq_col=seq_col, unique_ids=unique_ids)
 
     @classmethod
     def create(cls, df: DataFrame, path: str | None = None, id_col: str | None = None,

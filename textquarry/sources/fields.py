@@ -39,6 +39,7 @@ RANGE_KINDS = (TEXT, STRING, I64, U64, F64, DATE, BYTES)
 SORT_KINDS = (TEXT, STRING, BOOL, I64, U64, F64, DATE)
 CURSOR_KINDS = (TEXT, STRING, I64, U64, F64, DATE)
 CONCAT_KINDS = (TEXT, STRING, BOOL, I64, U64, F64, FACET, IP)
+TABLE_SET_KINDS = (STRING, BOOL, I64, U64, F64, DATE, BYTES)
 NUMERIC_KINDS = (I64, U64, F64)
 
 METADATA_KEY = "textquarry"
