@@ -10,7 +10,7 @@ from textquarry.functions.analysis import tokenize
 from textquarry.operators.explain import explain_scores
 from textquarry.operators.search import ByField, Relevance, count, matches, search
 from textquarry.operators.similar import more_like_this, search_many
-from textquarry.operators.snippets import Snippet
+from textquarry.operators.snippets import Snippet, add_snippets
 from textquarry.plans.terms import bind, term_rows
 from textquarry.sources.corpus import spread
 from textquarry.sources.postings import TermIndex
@@ -268,16 +268,15 @@ register(
 
 def _snippet(spark, sf):
     """Properties every fragment must have, for all matching documents."""
-    corpus = docs(spark, sf)
-    total = corpus.df.count()
-    hits = search(corpus, q.Match("estion ndat"), limit=total, payload="doc", return_fields=[],
-                  snippets=[Snippet("text", pre_tag="\x03", post_tag="\x04", name="frag")])
+    corpus, query = docs(spark, sf), q.Match("estion ndat")
+    rows = matches(corpus, query)
+    hits = add_snippets(rows, corpus, query, [Snippet("text", pre_tag="\x03", post_tag="\x04", name="frag")])
     plain = F.translate("frag", "\x03\x04", "")
     for raw, esc in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"), ("&", "&amp;")):
         plain = F.replace(plain, F.lit(esc), F.lit(raw))
     tagged = F.regexp_extract_all("frag", F.lit("\x03([^\x04]*)\x04"), F.lit(1))
     return hits.select(
-        F.col("id").cast("long").alias("doc_id"),
+        "doc_id",
         (F.size(tagged) > 0).alias("has_tag"),
         F.forall(tagged, lambda t: F.lower(t).isin("estion", "ndat")).alias("tags_are_terms"),
         (F.length(plain) <= 150).alias("fits"),
@@ -285,6 +284,13 @@ def _snippet(spark, sf):
     )
 
 
+register(
+    "snippet_page",
+    lambda spark, sf: search(docs(spark, sf), q.Match("estion ndat"), limit=10, payload="materialized", return_fields=["doc_id"],
+                             snippets=[Snippet("text", name="frag")])
+    .select("rank", "doc_id", F.col("frag").contains("<b>").alias("tagged")),
+    _top_sql(["estion", "ndat"], "f0 + f1 > 0", "(s0 + s1)").replace("round(s, 6) AS score", "true AS tagged"),
+)
 register(
     "snippet", _snippet,
     f"WITH {TOK} SELECT DISTINCT doc_id, true AS has_tag, true AS tags_are_terms, true AS fits, true AS is_part_of_text "

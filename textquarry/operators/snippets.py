@@ -51,7 +51,10 @@ def highlighted_terms(corpus: Corpus, query: Query | None, field: str) -> list[s
 
 
 def add_snippets(page: DataFrame, corpus: Corpus, query: Query | None, snippets: Sequence[Snippet]) -> DataFrame:
-    """One string column per snippet; empty where nothing in the field matched."""
+    """One string column per snippet; empty where nothing in the field matched.
+
+    ``page`` is any DataFrame with the text columns: a page of hits, or all matching rows.
+    """
     for s in snippets:
         spec = corpus.spec(s.field)
         if spec.kind != TEXT:

@@ -26,19 +26,17 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, **trigger) -> S
     ).start()
 
 
+def _entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory; none if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [e.getPath().getName() for e in fs.listStatus(where)] if fs.exists(where) else []
+
+
 def _finished(spark: SparkSession, path: str) -> list[int]:
-    """Batches whose write was committed (a handful of directory entries, no data)."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    done = []
-    for entry in fs.listStatus(root):
-        name = entry.getPath().getName()
-        marker = spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-        if name.startswith(f"{VERSION}=") and fs.exists(marker):
-            done.append(int(name.split("=")[1]))
-    return sorted(done)
+    """Batches whose write was committed, newest first (directory names only, no data)."""
+    versions = [int(n.split("=")[1]) for n in _entries(spark, path) if n.startswith(f"{VERSION}=")]
+    return sorted((v for v in versions if "_SUCCESS" in _entries(spark, f"{path}/{VERSION}={v}")), reverse=True)
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
@@ -48,15 +46,19 @@ def read_appended(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_upserted(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Current rows: for each id bucket, those of the newest finished batch that rewrote it."""
-    done = [v for v in _finished(spark, path) if before is None or v < before]
-    if not done:
+    """Current rows: for each id bucket, those of the newest finished batch that rewrote it.
+
+    The buckets are picked by directory name, so superseded files are not even opened.
+    """
+    newest: dict[str, str] = {}
+    for v in _finished(spark, path):
+        if before is None or v < before:
+            for name in _entries(spark, f"{path}/{VERSION}={v}"):
+                if name.startswith(f"{BUCKET}="):
+                    newest.setdefault(name, f"{path}/{VERSION}={v}/{name}")
+    if not newest:
         return None
-    paths = [f"{path}/{VERSION}={v}" for v in done]
-    rows = spark.read.option("basePath", path).parquet(*paths)
-    # Both columns are directory names, so this reads no rows and joins a few bytes.
-    newest = rows.groupBy(BUCKET).agg(F.max(VERSION).alias(VERSION))
-    return rows.join(F.broadcast(newest), [BUCKET, VERSION], "left_semi")
+    return spark.read.option("basePath", path).parquet(*newest.values())
 
 
 def open_upserted(spark: SparkSession, path: str, id_col: str, seq_col: str | None = None) -> Corpus:
