@@ -143,7 +143,8 @@ def test_index_and_scan_agree_and_explain_adds_up(lines, indexed, i):
     roots = explain_scores(indexed, query, list(scan)).where("path = '0'").collect()
     assert {r.doc_id: round(r.contribution, 10) for r in roots} == scan
     hits = search(indexed, query, limit=10, payload="materialized", return_fields=["body", "n"]).collect()
-    assert [h.id for h in hits] == [h.id for h in search(lines, query, limit=10).collect()]
+    plain = search(lines, query, limit=10, payload="materialized", return_fields=["body", "n"]).collect()
+    assert [(h.rank, h.id, h.body, h.n) for h in hits] == [(h.rank, h.id, h.body, h.n) for h in plain]
 
 
 def test_set_from_a_table(lines, indexed, spark):
@@ -329,6 +330,14 @@ def test_batch_operators_on_an_index(lines, indexed, spark, monkeypatch):
     assert many == shown(search_many(lines, queries)) and similar == shown(more_like_this(indexed, like=like))
 
 
+def test_empty_and_stored_pages_on_an_index(lines, indexed, tmp_path):
+    assert search(indexed, M("absent")).collect() == []
+    stored = lines.save(str(tmp_path / "c"), cluster_by_id=True).with_index(indexed.index)
+    assert stored.unique_ids and stored.spec("body").kind == "text"
+    page = search(stored, M("fox"), limit=1, offset=1, snippets=[Snippet("body")]).collect()
+    assert page == search(lines, M("fox"), limit=1, offset=1, snippets=[Snippet("body")]).collect() and len(page) == 1
+
+
 def test_wide_patterns_on_an_index(lines, indexed, monkeypatch):
     monkeypatch.setattr("textquarry.sources.postings.INLINE_TERMS", 1)
     assert found(indexed, q.Contains("body", "o")) == found(lines, q.Contains("body", "o"))

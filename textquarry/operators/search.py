@@ -20,6 +20,8 @@ from textquarry.sources.fields import SORT_KINDS
 
 #: A page of hits up to this size is joined back to its rows by broadcast.
 BROADCAST_PAGE = 10_000
+#: With an index, a page up to this size is fetched by a list of ids, which the scan can use to skip files.
+FETCH_BY_ID = 1_000
 #: A page comes out of its sort in one partition; larger ones are spread before highlighting.
 ONE_TASK_PAGE = 1_000
 
@@ -134,7 +136,9 @@ def search(
     """One page of hits: ``rank``, ``id`` and ``score`` where available, payload, snippets.
 
     ``rank`` starts at ``offset + 1``. ``min_score`` applies before paging, and
-    real scores are kept under a field sort.
+    real scores are kept under a field sort. On an indexed corpus a small page
+    is ranked at once and its rows are then read by id; otherwise nothing runs
+    before the result is used.
     """
     if limit < 0 or offset < 0:
         raise RequestError("limit and offset must not be negative")
@@ -159,9 +163,7 @@ def search(
     if offset:
         page = page.where(F.col("__rank") > offset)
     if late and (has_text or not set(wanted) <= set(reads)):
-        slim = page.select(f"`{corpus.key()}`", "__rank", *([SCORE] if scored else []))
-        small = F.broadcast(slim) if limit + offset <= BROADCAST_PAGE else slim
-        page = corpus.df.join(small, corpus.key())
+        page = _fetch(corpus, page.select(f"`{corpus.key()}`", "__rank", *([SCORE] if scored else [])), limit + offset)
     if snippets and limit + offset > ONE_TASK_PAGE:
         page = page.repartition("__rank")
     page = add_snippets(page, corpus, query, snippets)
@@ -175,6 +177,16 @@ def search(
     return page.orderBy("__rank").select(*head, *shape, *[s.column_name for s in snippets])
 
 
+def _fetch(corpus: Corpus, page: DataFrame, size: int) -> DataFrame:
+    """The rows of a ranked page of ids."""
+    key, rows = corpus.key(), corpus.df
+    if corpus.index is not None and size <= FETCH_BY_ID:
+        found = page.collect()
+        rows = rows.where(F.col(f"`{key}`").isin([r[key] for r in found]))
+        page = corpus.spark.createDataFrame(found, page.schema)
+    return rows.join(F.broadcast(page) if size <= BROADCAST_PAGE else page, key)
+
+
 def _name(column: Column) -> str:
     return column._jc.toString()
 
