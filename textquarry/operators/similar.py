@@ -218,7 +218,7 @@ def telling_terms(corpus: Corpus, like: MoreLikeThis) -> list[tuple[str, str, fl
     spec = corpus.spec(key)
     source = corpus.df.where(spec.any_value(lambda v: v == literal(spec, like.source_id))).limit(1)
     found = _telling_terms(corpus, fields, source, like, None, small=True)
-    rows = found.orderBy(F.desc("weight"), "field", "term").collect()
+    rows = sorted(found.collect(), key=lambda r: (-r.weight, r.field, r.term))
     if not rows and source.isEmpty():
         raise RequestError(f"more_like_this: no row with {key} = {like.source_id!r}")
     return [(r.field, r.term, None if like.boost_factor is None else r.weight) for r in rows]
