@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from textquarry.llm import substrings
+from textquarry.llm import substrings, suffixes
 
 QUERIES = {
     "op3_substring_dedup": substrings.query,
+    "op5_suffix_dedup": suffixes.query,
 }
 
 ORACLE = {
     "op3_substring_dedup": substrings.SQL,
+    "op5_suffix_dedup": suffixes.SQL,
 }

@@ -15,17 +15,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.llm.arrays import Rolling, text_chunks, window_runs, word_bounds, word_hashes
 from textquarry.llm.common import doc_rows, stored
+from textquarry.llm.sketch import passes, sketch
 
 GRAM = 16
-DEPTH = 2
-PARTS = 64
-LANES = 32
 NULL_ID = -(1 << 63)
 
 
@@ -37,73 +34,16 @@ def _runs(data, offsets, size):
     return rolling, np.searchsorted(starts, offsets), owner, first, count, gram
 
 
-def _cells(grams: np.ndarray, bits: int, row: int) -> np.ndarray:
-    return (grams >> np.uint64(32 * row)) & np.uint64((1 << bits) - 1)
-
-
-def _sparse(part, lane, cells, counts):
-    return pa.record_batch({"part": pa.array([part], pa.int32()), "lane": pa.array([lane], pa.int32()),
-                            "cells": pa.array([cells.astype(np.uint32).tobytes()]), "counts": pa.array([counts.tobytes()])})
-
-
-def sketch_repeats(rows: DataFrame, size: int, bits: int) -> np.ndarray:
-    """The merged count-min sketch, reduced to one bit per cell: counted at least twice. 2 * 2**bits bits in all."""
-    span = (1 << bits) // PARTS
-
-    def count(batches):
-        grams = [np.zeros(0, np.uint64)]
-        for batch in batches:
-            grams += [_runs(data, offsets, size)[5] for _, _, data, offsets in text_chunks(batch, "text")]
-        grams, lane = np.concatenate(grams), TaskContext.get().partitionId() % LANES
-        for row in range(DEPTH):
-            cells, counts = np.unique(_cells(grams, bits, row), return_counts=True)
-            cut = np.searchsorted(cells, np.arange(PARTS + 1, dtype=np.uint64) * np.uint64(span))
-            for part in range(PARTS):
-                own = slice(cut[part], cut[part + 1])
-                if cut[part] < cut[part + 1]:
-                    yield _sparse(row * PARTS + part, lane, cells[own] - np.uint64(part * span), np.minimum(counts[own], 2).astype(np.uint8))
-
-    def added(batches):
-        total = np.zeros(span, np.uint8)
-        for batch in batches:
-            for cells, counts in zip(batch.column("cells"), batch.column("counts")):
-                cells = np.frombuffer(cells.as_py(), np.uint32)
-                total[cells] = np.minimum(total[cells] + np.frombuffer(counts.as_py(), np.uint8), 2)
-        return total
-
-    def merge(key, table):
-        total = added(table.to_batches())
-        cells = np.flatnonzero(total)
-        return pa.Table.from_batches([_sparse(key[0].as_py(), key[1].as_py(), cells, total[cells])])
-
-    def finish(key, table):
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(added(table.to_batches()) > 1).tobytes()])})
-
-    schema = "part int, lane int, cells binary, counts binary"
-    partial = rows.select("text").mapInArrow(count, schema).groupBy("part", "lane").applyInArrow(merge, schema)
-    merged = np.zeros((DEPTH * PARTS, span // 8), np.uint8)
-    for part, packed in partial.groupBy("part").applyInArrow(finish, "part int, bits binary").toLocalIterator():
-        merged[part] = np.frombuffer(packed, np.uint8)
-    return merged.reshape(DEPTH, -1)
-
-
-def _seen_twice(bitmap: np.ndarray, grams: np.ndarray, bits: int) -> np.ndarray:
-    hit = np.ones(len(grams), bool)
-    for row in range(DEPTH):
-        cell = _cells(grams, bits, row)
-        hit &= (bitmap[row][cell >> np.uint64(3)] >> (np.uint64(7) - (cell & np.uint64(7)))) & np.uint64(1) == 1
-    return hit
-
-
 def candidate_runs(rows: DataFrame, size: int, bits: int) -> DataFrame:
     """Runs of windows whose gram may repeat: place, number of windows, digests of gram, run and each window."""
-    bitmap = rows.sparkSession.sparkContext.broadcast(sketch_repeats(rows, size, bits))
+    bitmap = rows.sparkSession.sparkContext.broadcast(sketch(
+        rows.select("text"), lambda batch: [_runs(data, offsets, size)[5] for _, _, data, offsets in text_chunks(batch, "text")], bits, 2))
 
     def keep(batches):
         for batch in batches:
             for lo, hi, data, offsets in text_chunks(batch, "text"):
                 rolling, begins, owner, first, count, gram = _runs(data, offsets, size)
-                hit = _seen_twice(bitmap.value, gram, bits)
+                hit = passes(bitmap.value, gram, bits)
                 first, count, gram = first[hit], count[hit], gram[hit]
                 if not len(first):
                     continue
@@ -178,7 +118,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH w AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
 ), p AS (
   SELECT doc_id, unnest(range(1, len(words) - 48)) AS i, words FROM w WHERE len(words) >= 50
 ), g AS (
@@ -188,6 +128,6 @@ c AS (
   SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM g JOIN m USING (seq) WHERE m.first < g.doc_id
 ), r AS (SELECT doc_id, list(j) AS gone FROM c GROUP BY doc_id)
 SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
-  sha256(array_to_string(CASE WHEN gone IS NULL THEN words ELSE list_filter(words, (x, k) -> NOT list_contains(gone, k)) END, ' ')) AS kept_sha256
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN words ELSE list_filter(words, lambda x, k: NOT list_contains(gone, k)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN r USING (doc_id)
 """
