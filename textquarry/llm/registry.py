@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from textquarry.llm import substrings, suffixes
+from textquarry.llm import exact, simhash, substrings, suffixes
 
 QUERIES = {
     "op3_substring_dedup": substrings.query,
+    "op4_simhash_near_dedup": simhash.query,
     "op5_suffix_dedup": suffixes.query,
+    "op7_exact_dedup": exact.query,
 }
 
 ORACLE = {
     "op3_substring_dedup": substrings.SQL,
     "op5_suffix_dedup": suffixes.SQL,
+    "op7_exact_dedup": exact.SQL,
 }
