@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Between words: all of ASCII but digits and a-z.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _own: list[str] = []
@@ -35,7 +37,12 @@ def stored(df: DataFrame) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     """A-Z become a-z, every other character stays (``lower`` would change more)."""
-    return F.translate(text, UPPER, UPPER.lower())
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+
+
+def words(text: Column) -> Column:
+    """Maximal runs of digits, a-z and characters outside ASCII, after lower-casing A-Z."""
+    return F.array_remove(F.split(ascii_lower(text), GAP), "")
 
 
 def doc_rows(docs: DataFrame, *more: str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from textquarry.llm import exact, simhash, substrings, suffixes
+from textquarry.llm import exact, licenses, lines, simhash, substrings, suffixes
 
 QUERIES = {
+    "op2_license_scans": licenses.query,
     "op3_substring_dedup": substrings.query,
     "op4_simhash_near_dedup": simhash.query,
     "op5_suffix_dedup": suffixes.query,
     "op7_exact_dedup": exact.query,
+    "op8_line_dedup": lines.query,
 }
 
 ORACLE = {
+    "op2_license_scans": licenses.SQL,
     "op3_substring_dedup": substrings.SQL,
     "op5_suffix_dedup": suffixes.SQL,
     "op7_exact_dedup": exact.SQL,
