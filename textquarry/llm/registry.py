@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from textquarry.llm import exact, licenses, lines, simhash, substrings, suffixes
+from textquarry.llm import decontamination, exact, licenses, lines, simhash, substrings, suffixes
 
 QUERIES = {
     "op2_license_scans": licenses.query,
     "op3_substring_dedup": substrings.query,
     "op4_simhash_near_dedup": simhash.query,
     "op5_suffix_dedup": suffixes.query,
+    "op6_decontamination": decontamination.query,
     "op7_exact_dedup": exact.query,
     "op8_line_dedup": lines.query,
 }
@@ -17,5 +18,6 @@ ORACLE = {
     "op2_license_scans": licenses.SQL,
     "op3_substring_dedup": substrings.SQL,
     "op5_suffix_dedup": suffixes.SQL,
+    "op6_decontamination": decontamination.SQL,
     "op7_exact_dedup": exact.SQL,
 }
