@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textquarry.llm import decontamination, exact, licenses, lines, simhash, substrings, suffixes
+from textquarry.llm import chat, decontamination, exact, licenses, lines, simhash, substrings, suffixes
 
 QUERIES = {
     "op2_license_scans": licenses.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_decontamination": decontamination.query,
     "op7_exact_dedup": exact.query,
     "op8_line_dedup": lines.query,
+    "op9_chat_formatting": chat.query,
 }
 
 ORACLE = {
@@ -20,4 +21,5 @@ ORACLE = {
     "op5_suffix_dedup": suffixes.SQL,
     "op6_decontamination": decontamination.SQL,
     "op7_exact_dedup": exact.SQL,
+    "op9_chat_formatting": chat.SQL,
 }
