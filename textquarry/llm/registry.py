@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from textquarry.llm import chat, decontamination, exact, licenses, lines, simhash, substrings, suffixes
+from textquarry.llm import chat, decontamination, exact, licenses, lines, quality, simhash, substrings, suffixes
 
 QUERIES = {
+    "op1_quality_classifier": quality.query,
     "op2_license_scans": licenses.query,
     "op3_substring_dedup": substrings.query,
     "op4_simhash_near_dedup": simhash.query,
