@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textquarry.llm import chat, decontamination, exact, licenses, lines, quality, simhash, substrings, suffixes
+from textquarry.llm import chat, decontamination, exact, licenses, lines, mixing, quality, simhash, substrings, suffixes
 
 QUERIES = {
     "op1_quality_classifier": quality.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_exact_dedup": exact.query,
     "op8_line_dedup": lines.query,
     "op9_chat_formatting": chat.query,
+    "op10_source_mixing": mixing.query,
 }
 
 ORACLE = {
