@@ -37,11 +37,11 @@ def _runs(data, offsets, size):
     return rolling, owner, *window_runs(rolling, owner, size, min(GRAM, size))
 
 
-def _candidates(batch, size, bitmap):
+def _candidates(batch, size, bitmap, bits):
     """Runs whose gram may repeat, chunk by chunk."""
     for lo, hi, data, offsets in text_chunks(batch, "text"):
         rolling, owner, first, count, gram = _runs(data, offsets, size)
-        hit = passes(bitmap, gram, BITS)
+        hit = passes(bitmap, gram, bits)
         first, count, gram = first[hit], count[hit], gram[hit]
         yield lo, hi, data, offsets, owner[first], first, count, gram, rolling.stretch(first, first + count + size - 1)
 
@@ -50,12 +50,12 @@ def _place(doc_id, th, start):
     return mix(mix(doc_id.view(np.uint64)) ^ th.view(np.uint64) ^ mix(start.astype(np.uint64)))
 
 
-def distinct_runs(rows: DataFrame, bitmap, size: int) -> DataFrame:
+def distinct_runs(rows: DataFrame, bitmap, size: int, bits: int) -> DataFrame:
     """The candidate runs without repetition, each with its earliest place."""
 
     def emit(batches):
         for batch in batches:
-            for lo, hi, _, offsets, doc, first, count, gram, run in _candidates(batch, size, bitmap.value):
+            for lo, hi, _, offsets, doc, first, count, gram, run in _candidates(batch, size, bitmap.value, bits):
                 yield pa.record_batch({
                     "doc_id": batch.column("doc_id").slice(lo, hi - lo).take(pa.array(doc)), "th": batch.column("th").slice(lo, hi - lo).take(pa.array(doc)),
                     "start": pa.array((first - offsets[doc]).astype(np.int64)), "n": pa.array(count.astype(np.int64)),
@@ -66,19 +66,19 @@ def distinct_runs(rows: DataFrame, bitmap, size: int) -> DataFrame:
     return runs.groupBy("gram", "run", "n").agg(F.min(F.struct("doc_id", "th", "start")).alias("at")).select("gram", "run", "n", "at.*")
 
 
-def run_texts(rows: DataFrame, bitmap, wanted: DataFrame, size: int) -> DataFrame:
+def run_texts(rows: DataFrame, bitmap, wanted: DataFrame, size: int, bits: int) -> DataFrame:
     """``wanted`` runs with their bytes, cut from the texts in a scan that a sketch of the wanted places narrows."""
 
     def places(batch):
         return [_place(*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "th", "start")))]
 
-    marks = rows.sparkSession.sparkContext.broadcast(sketch(wanted.select("doc_id", "th", "start"), places, BITS, 1))
+    marks = rows.sparkSession.sparkContext.broadcast(sketch(wanted.select("doc_id", "th", "start"), places, bits, 1))
 
     def emit(batches):
         for batch in batches:
             ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "th"))
-            for lo, _, data, offsets, doc, first, count, gram, run in _candidates(batch, size, bitmap.value):
-                own = np.flatnonzero(passes(marks.value, _place(ids[lo + doc], hashes[lo + doc], first - offsets[doc]), BITS))
+            for lo, _, data, offsets, doc, first, count, gram, run in _candidates(batch, size, bitmap.value, bits):
+                own = np.flatnonzero(passes(marks.value, _place(ids[lo + doc], hashes[lo + doc], first - offsets[doc]), bits))
                 first, count, doc = first[own], count[own], doc[own]
                 yield pa.record_batch({
                     "doc_id": pa.array(ids[lo + doc]), "th": pa.array(hashes[lo + doc]), "start": pa.array((first - offsets[doc]).astype(np.int64)),
@@ -90,12 +90,12 @@ def run_texts(rows: DataFrame, bitmap, wanted: DataFrame, size: int) -> DataFram
     return found.dropDuplicates(["gram", "run", "doc_id", "th", "start"])
 
 
-def _repeats_in_block(size):
+def _repeats_in_block(size, block_bytes):
     def mark(table):
         order = table.sort_by([("doc_id", "ascending"), ("th", "ascending"), ("start", "ascending")])
         strings, out = order.column("bytes").to_pylist(), []
         ends = np.cumsum([len(s) for s in strings])
-        cuts = [0, *np.searchsorted(ends, np.arange(BLOCK_BYTES * 4, ends[-1], BLOCK_BYTES * 4)).tolist(), len(strings)]
+        cuts = [0, *np.searchsorted(ends, np.arange(4 * block_bytes, ends[-1], 4 * block_bytes)).tolist(), len(strings)]
         cuts = sorted(set(cuts))
         gone = [np.zeros(0, np.int64)] * len(strings)
         for lo, hi in zip(cuts, cuts[1:]):
@@ -135,13 +135,13 @@ def _single_strings(size):
     return emit
 
 
-def repeats_inside(texts: DataFrame, size: int, hot_runs: int = HOT_RUNS) -> DataFrame:
+def repeats_inside(texts: DataFrame, size: int, hot_runs: int = HOT_RUNS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(gram, run, gone): for distinct runs, the offsets whose string occurs earlier in another distinct run."""
     heavy = texts.groupBy("gram").agg(F.count("*").alias("k")).where(F.col("k") > hot_runs).select("gram")
     total = texts.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
+    blocks = max(1, -(-total // block_bytes))
     dealt = texts.join(heavy, "gram", "left_anti").withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
-    indexed = dealt.groupBy("block").applyInArrow(_repeats_in_block(size), "gram long, run long, gone array<long>")
+    indexed = dealt.groupBy("block").applyInArrow(_repeats_in_block(size, block_bytes), "gram long, run long, gone array<long>")
     single = texts.join(heavy, "gram", "left_semi").mapInArrow(_single_strings(size), "gram long, run long, doc_id long, th long, start long, at long, a long, b long")
     place = F.struct("doc_id", "th", "start")
     first = single.groupBy("gram", "a", "b").agg(F.min(place).alias("first"))
@@ -156,17 +156,17 @@ def _covered(starts, counts, size, length):
     return np.cumsum(edge[:-1]) > 0
 
 
-def remove_repeated_strings(docs: DataFrame, size: int = 100) -> DataFrame:
+def remove_repeated_strings(docs: DataFrame, size: int = 100, bits: int = BITS, hot_runs: int = HOT_RUNS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal removed stretches) and the bytes left (``kept``)."""
     rows = doc_rows(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
     context = rows.sparkSession.sparkContext
-    grams = sketch(rows.select("text"), lambda batch: [_runs(data, offsets, size)[4] for _, _, data, offsets in text_chunks(batch, "text")], BITS, 2)
+    grams = sketch(rows.select("text"), lambda batch: [_runs(data, offsets, size)[4] for _, _, data, offsets in text_chunks(batch, "text")], bits, 2)
     bitmap = context.broadcast(grams)
-    whole = stored(distinct_runs(rows, bitmap, size))
+    whole = stored(distinct_runs(rows, bitmap, size, bits))
     varied = whole.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
     wanted = stored(whole.join(varied, "gram", "left_semi"))
-    texts = stored(run_texts(rows, bitmap, wanted, size).join(wanted.select("gram", "run", "doc_id", "th", "start"), ["gram", "run", "doc_id", "th", "start"], "left_semi"))
-    inside = repeats_inside(texts, size)
+    texts = stored(run_texts(rows, bitmap, wanted, size, bits).join(wanted.select("gram", "run", "doc_id", "th", "start"), ["gram", "run", "doc_id", "th", "start"], "left_semi"))
+    inside = repeats_inside(texts, size, hot_runs, block_bytes)
     kept_runs = (
         whole.join(inside, ["gram", "run"], "left").groupBy("doc_id", "th")
         .agg(F.collect_list("start").alias("kept_runs"), F.flatten(F.collect_list(F.transform("gone", lambda g: g + F.col("start")))).alias("gone"))
@@ -176,7 +176,7 @@ def remove_repeated_strings(docs: DataFrame, size: int = 100) -> DataFrame:
     def cut(batches):
         for batch in batches:
             earliest, gone = (batch.column(c).to_pylist() for c in ("kept_runs", "gone"))
-            for lo, hi, data, offsets, doc, first, count, _, _ in _candidates(batch, size, bitmap.value):
+            for lo, hi, data, offsets, doc, first, count, _, _ in _candidates(batch, size, bitmap.value, bits):
                 stays = [np.asarray(earliest[lo + d] or (), np.int64) + offsets[d] for d in range(hi - lo)]
                 later = ~np.isin(first, np.concatenate(stays))
                 inner = np.concatenate([np.asarray(gone[lo + d] or (), np.int64) + offsets[d] for d in range(hi - lo)])
