@@ -160,8 +160,9 @@ def term_lists(sample: DataFrame) -> list[np.ndarray]:
     return lists
 
 
-def _train(table_rows: list[tuple], rounds: int = 12, batch: int = 256) -> np.ndarray:
-    """Weights by AdaGrad on the logistic loss against posterior labels. Rows: (cells, values, label)."""
+def _train(table_rows: list[tuple], rounds: int = 12, batch: int = 256, steps: int = 400) -> np.ndarray:
+    """Weights by AdaGrad on the logistic loss against posterior labels, at least ``steps`` steps. Rows: (cells, values, label)."""
+    rounds = max(rounds, -(-steps * batch // len(table_rows)) if len(table_rows) >= batch else steps)
     weights, power = np.zeros(WEIGHTS), np.full(WEIGHTS, 1e-6)
     weights[-1] = -2.0
     order = np.random.default_rng(7)
