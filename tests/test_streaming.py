@@ -1,7 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
+from textquarry.errors import RequestError
 from textquarry.operators.search import count
-from textquarry.streaming.ingest import append_stream, open_upserted, read_appended, upsert_batch, upsert_stream
+from textquarry.plans.query import Range
+from textquarry.streaming import ingest
 
 SCHEMA = "id string, name string, at long"
 
@@ -15,35 +18,82 @@ def _run(query):
     assert query.exception() is None
 
 
+def _rows(spark, out):
+    return sorted(tuple(r) for r in ingest.open_upserted(spark, out, "id").df.select("id", "name", "at").collect())
+
+
 def test_append_then_read(spark, tmp_path):
     src, out, chk = (str(tmp_path / n) for n in ("src", "out", "chk"))
     _land(spark, src, [("a", "x", 1), ("b", "y", 2)])
-    _run(append_stream(spark.readStream.schema(SCHEMA).json(src), out, chk))
+    _run(ingest.append_stream(spark.readStream.schema(SCHEMA).json(src), out, chk))
     _land(spark, src, [("a", "z", 3)])
-    _run(append_stream(spark.readStream.schema(SCHEMA).json(src), out, chk))
-    assert read_appended(spark, out).count() == 3
+    _run(ingest.append_stream(spark.readStream.schema(SCHEMA).json(src), out, chk))
+    assert ingest.read_appended(spark, out).count() == 3
+
+
+def test_two_streams_append_to_one_path(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for name, rows in (("one", [("a", "x", 1), ("b", "y", 2)]), ("two", [("c", "z", 3)])):
+        _land(spark, tmp_path / name, rows)
+        _run(ingest.append_stream(spark.readStream.schema(SCHEMA).json(str(tmp_path / name)), out, str(tmp_path / f"chk-{name}")))
+    assert {r.id for r in ingest.read_appended(spark, out).collect()} == {"a", "b", "c"}
+    spark.createDataFrame([("d", "lost", 1)], SCHEMA).write.parquet(f"{out}/data/__write=unfinished")
+    assert ingest.read_appended(spark, out).count() == 3
 
 
 def test_upserts_keep_the_last_row_per_id(spark, tmp_path):
     src, out, chk = (str(tmp_path / n) for n in ("src", "out", "chk"))
     options = dict(id_col="id", order_by="at", buckets=4)
     _land(spark, src, [(f"k{i}", "first", 1) for i in range(20)] + [("k1", "second", 2)])
-    _run(upsert_stream(spark.readStream.schema(SCHEMA).json(src), out, chk, **options))
+    _run(ingest.upsert_stream(spark.readStream.schema(SCHEMA).json(src), out, chk, **options))
     _land(spark, src, [("k2", "third", 3), ("new", "third", 3)])
-    _run(upsert_stream(spark.readStream.schema(SCHEMA).json(src), out, chk, **options))
-    corpus = open_upserted(spark, out, "id")
+    _run(ingest.upsert_stream(spark.readStream.schema(SCHEMA).json(src), out, chk, **options))
+    corpus = ingest.open_upserted(spark, out, "id")
     names = {r.id: r.name for r in corpus.df.collect()}
     assert count(corpus).first().total == 21 and len(names) == 21
     assert names["k1"] == "second" and names["k2"] == names["new"] == "third" and names["k3"] == "first"
 
 
-def test_replayed_batch_changes_nothing(spark, tmp_path):
+def test_a_new_checkpoint_comes_after_what_is_stored(spark, tmp_path):
     out = str(tmp_path / "out")
-    first = spark.createDataFrame([("a", "1", 1), ("b", "1", 1)], SCHEMA)
-    second = spark.createDataFrame([("a", "2", 2)], SCHEMA)
-    upsert_batch(first, 0, out, "id", "at", 2)
+    for n, rows in enumerate(([("a", "old", 1), ("b", "old", 1)], [("a", "new", 2)])):
+        _land(spark, tmp_path / f"src{n}", rows)
+        source = spark.readStream.schema(SCHEMA).json(str(tmp_path / f"src{n}"))
+        _run(ingest.upsert_stream(source, out, str(tmp_path / f"chk{n}"), id_col="id", order_by="at", buckets=2))
+    assert _rows(spark, out) == [("a", "new", 2), ("b", "old", 1)]
+
+
+def test_replayed_and_late_batches(spark, tmp_path):
+    out = str(tmp_path / "out")
+    batch = lambda *rows: spark.createDataFrame(list(rows), SCHEMA)
+    ingest.upsert_batch(batch(("a", "1", 1), ("b", "1", 1)), 0, out, "id", "at", 2)
     for _ in range(2):
-        upsert_batch(second, 1, out, "id", "at", 2)
-    rows = open_upserted(spark, out, "id").df.orderBy("id").select("id", "name").collect()
-    assert [tuple(r) for r in rows] == [("a", "2"), ("b", "1")]
-    assert open_upserted(spark, out, "id").df.where(F.col("id").isNull()).count() == 0
+        ingest.upsert_batch(batch(("a", "5", 5)), 1, out, "id", "at", 2)
+    ingest.upsert_batch(batch(("a", "late", 3), ("b", "same", 1)), 2, out, "id", "at")
+    ingest.upsert_batch(batch(("a", "replayed", 9)), 1, out, "id", "at")
+    assert _rows(spark, out) == [("a", "5", 5), ("b", "same", 1)]
+
+
+def test_the_number_of_buckets_is_kept(spark, tmp_path):
+    out, target = str(tmp_path / "out"), str(tmp_path / "target")
+    rows = spark.createDataFrame([(f"k{i}", "x", i) for i in range(20)], SCHEMA)
+    ingest.upsert_batch(rows, 0, out, "id", "at", 4)
+    with pytest.raises(RequestError):
+        ingest.upsert_batch(rows, 1, out, "id", "at", 8)
+    ingest.compact(spark, out, target, "id", 8)
+    ingest.upsert_batch(rows.withColumn("at", F.col("at") + 100), 1, target, "id", "at", 8)
+    assert len(_rows(spark, target)) == 20 and min(r[2] for r in _rows(spark, target)) == 100
+
+
+def test_stored_deletes(spark, tmp_path):
+    out = str(tmp_path / "out")
+    ingest.upsert_batch(spark.createDataFrame([(f"k{i}", "x", i) for i in range(12)], SCHEMA), 0, out, "id", "at", 3)
+    ingest.delete_stored(spark, out, "id", spark.createDataFrame([("k3",), ("k4",), ("none",)], "id string"))
+    ingest.delete_where_stored(spark, out, "id", Range("at", gte=9))
+    assert [r[2] for r in sorted(_rows(spark, out), key=lambda r: r[2])] == [0, 1, 2, 5, 6, 7, 8]
+    ingest.delete_where_stored(spark, out, "id", Range("at", gte=0))
+    assert _rows(spark, out) == []
+    ingest.upsert_batch(spark.createDataFrame([("z", "back", 1)], SCHEMA), 1, out, "id", "at")
+    assert _rows(spark, out) == [("z", "back", 1)]
+    ingest.truncate_stored(spark, out)
+    assert _rows(spark, out) == []

@@ -1,99 +1,194 @@
-"""Keeping a stored corpus up to date from a stream.
+"""Keeping a stored corpus up to date, from streams or batch by batch.
 
-Both sinks are idempotent: replaying a micro-batch after a failure writes the
-same directory again, and readers only look at finished batches.
+A stored corpus is a folder of data directories and a manifest. Each write makes a directory of its own and then adds
+rows to the manifest, which is what readers go by: a write that did not get that far is not seen. A manifest row names
+the stream and batch it came from, so a replayed batch is recognised whatever other streams did meanwhile; versions
+count upwards over all writers. Appending streams may run side by side; of upserting or deleting writers, one at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from textquarry.errors import RequestError
+from textquarry.plans.compiler import Compiler
+from textquarry.plans.features import scan_base
+from textquarry.plans.query import Query
 from textquarry.sources.corpus import Corpus
 from textquarry.sources.maintain import latest
 
-BUCKET, VERSION = "__bucket", "__version"
+BUCKET, WRITE = "__bucket", "__write"
+MANIFEST = "version long, stream string, batch long, buckets int, bucket int, empty boolean, write string"
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Add every micro-batch under ``path/__version=<batch>``."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{VERSION}={batch_id}")
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per finished write, or per id bucket it rewrote; no rows where nothing is stored yet."""
+    try:
+        return spark.read.schema(MANIFEST).json(f"{path}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
-        **(trigger or {"availableNow": True})
-    ).start()
+
+def _done(log: DataFrame, stream: str, batch: int) -> bool:
+    return bool(log.where((F.col("stream") == stream) & (F.col("batch") == batch)).limit(1).count())
 
 
-def _entries(spark: SparkSession, path: str) -> list[str]:
-    """Names in a directory; none if it does not exist."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [e.getPath().getName() for e in fs.listStatus(where)] if fs.exists(where) else []
+def _commit(spark: SparkSession, path: str, log: DataFrame, rows: list[tuple]) -> None:
+    """Add ``rows`` (stream, batch, buckets, bucket, empty, write) as the version after the newest."""
+    version = (log.agg(F.max("version")).first()[0] or 0) + 1
+    spark.createDataFrame([(version, *r) for r in rows], MANIFEST).coalesce(1).write.mode("append").json(f"{path}/manifest")
 
 
-def _finished(spark: SparkSession, path: str) -> list[int]:
-    """Batches whose write was committed, newest first (directory names only, no data)."""
-    versions = [int(n.split("=")[1]) for n in _entries(spark, path) if n.startswith(f"{VERSION}=")]
-    return sorted((v for v in versions if "_SUCCESS" in _entries(spark, f"{path}/{VERSION}={v}")), reverse=True)
+def stream_name(checkpoint: str) -> str:
+    """The identity of a stream: its checkpoint, which holds its batch numbers."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def append_batch(batch: DataFrame, batch_id: int, path: str, stream: str) -> None:
+    """Add the rows of one batch, once."""
+    log = manifest(batch.sparkSession, path)
+    if _done(log, stream, batch_id):
+        return
+    write = uuid.uuid4().hex
+    batch.write.parquet(f"{path}/data/{WRITE}={write}")
+    _commit(batch.sparkSession, path, log, [(stream, batch_id, None, None, False, write)])
+
+
+def append_stream(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Add every micro-batch; any number of streams may share ``path``."""
+    name = stream_name(checkpoint)
+    return stream.writeStream.foreachBatch(lambda batch, n: append_batch(batch, n, path, name)).option(
+        "checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
     """All rows of the finished batches."""
-    paths = [f"{path}/{VERSION}={v}" for v in _finished(spark, path)]
-    return spark.read.parquet(*paths)
+    finished = manifest(spark, path).select(F.col("write").alias(WRITE)).distinct()
+    return spark.read.parquet(f"{path}/data").join(finished, WRITE, "left_semi").drop(WRITE)
 
 
-def read_upserted(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Current rows: for each id bucket, those of the newest finished batch that rewrote it.
+def _bucket(id_col: str, buckets: int):
+    return F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
 
-    The buckets are picked by directory name, so superseded files are not even opened.
-    """
-    newest: dict[str, str] = {}
-    for v in _finished(spark, path):
-        if before is None or v < before:
-            for name in _entries(spark, f"{path}/{VERSION}={v}"):
-                if name.startswith(f"{BUCKET}="):
-                    newest.setdefault(name, f"{path}/{VERSION}={v}/{name}")
-    if not newest:
+
+def _current(spark: SparkSession, path: str, only: list[int] | None = None) -> DataFrame | None:
+    """Current rows with their bucket: of each id bucket, those of the newest write. One path per bucket is listed."""
+    newest = manifest(spark, path).groupBy("bucket").agg(F.max_by(F.struct("empty", "write"), "version").alias("w"))
+    held = [(r[0], r[1]) for r in newest.where("NOT w.empty").select("bucket", "w.write").collect() if only is None or r[0] in only]
+    if not held:
         return None
-    return spark.read.option("basePath", path).parquet(*newest.values())
+    paths = [f"{path}/data/{WRITE}={write}/{BUCKET}={bucket}" for bucket, write in held]
+    return spark.read.option("basePath", f"{path}/data").parquet(*paths).drop(WRITE)
+
 
+def _buckets(log: DataFrame, wanted: int | None) -> int:
+    """The number of id buckets the corpus was stored with."""
+    held = log.agg(F.max("buckets")).first()[0]
+    if held is not None and wanted not in (None, held):
+        raise RequestError(f"this corpus is stored in {held} buckets, not {wanted}; use compact() to change that")
+    return held or wanted or 64
 
-def open_upserted(spark: SparkSession, path: str, id_col: str, seq_col: str | None = None) -> Corpus:
-    """The stored corpus as of the last finished batch."""
-    rows = read_upserted(spark, path)
-    return Corpus(rows.drop(BUCKET, VERSION), id_col, seq_col=seq_col)
 
+def _rewrite(spark, path, log, rows: DataFrame, touched: list[int], buckets: int, stream: str, batch_id: int) -> None:
+    """``rows`` become the whole content of the ``touched`` buckets."""
+    write = uuid.uuid4().hex
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{WRITE}={write}")
+    held = set()
+    if touched:
+        try:
+            held = {r[0] for r in spark.read.parquet(f"{path}/data/{WRITE}={write}").select(BUCKET).distinct().collect()}
+        except AnalysisException as e:  # nothing was left to write
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+    _commit(spark, path, log, [(stream, batch_id, buckets, b, b not in held, write) for b in touched])
 
-def upsert_batch(batch: DataFrame, batch_id: int, path: str, id_col: str, order_by: str, buckets: int) -> None:
-    """Merge one batch: rewrite only the id buckets it touches, as a new version."""
-    spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
-    fresh = latest(batch, id_col, order_by).withColumn(BUCKET, bucket)
-    current = read_upserted(spark, path, before=batch_id)
-    if current is not None:
-        touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
-        old = current.drop(VERSION).where(F.col(BUCKET).isin(touched))
-        fresh = old.join(fresh.select(id_col), id_col, "left_anti").unionByName(fresh)
-    (
-        fresh.repartition(buckets, BUCKET).write.mode("overwrite")
-        .partitionBy(BUCKET).parquet(f"{path}/{VERSION}={batch_id}")
-    )
+
+def upsert_batch(batch: DataFrame, batch_id: int, path: str, id_col: str, order_by: str, buckets: int | None = None,
+                 stream: str = "batch") -> None:
+    """Insert or replace by id, once per (stream, batch): the row with the largest ``order_by`` wins, stored rows included.
+
+    Of equal ones the new row wins. Only the id buckets the batch touches are rewritten.
+    """
+    spark, log = batch.sparkSession, manifest(batch.sparkSession, path)
+    if _done(log, stream, batch_id):
+        return
+    buckets = _buckets(log, buckets)
+    batch = batch.persist()
+    try:
+        fresh = batch.withColumn(BUCKET, _bucket(id_col, buckets)).withColumn("__new", F.lit(1))
+        touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
+        stored = _current(spark, path, touched)
+        if stored is not None:
+            fresh = stored.withColumn("__new", F.lit(0)).unionByName(fresh)
+        rows = latest(fresh.withColumn("__order", F.struct(order_by, "__new")), id_col, "__order").drop("__order", "__new")
+        _rewrite(spark, path, log, rows, touched, buckets, stream, batch_id)
+    finally:
+        batch.unpersist()
 
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, *, id_col: str, order_by: str,
-                  buckets: int = 64, **trigger) -> StreamingQuery:
-    """Insert-or-replace by id from a stream.
+                  buckets: int | None = None, **trigger) -> StreamingQuery:
+    """Insert or replace by id from a stream.
 
-    Choose ``buckets`` so that one bucket is a comfortable task (total size
-    divided by a few hundred MB); a batch rewrites the buckets its ids fall in.
+    Choose ``buckets`` when the corpus is first stored, so that one bucket is a few hundred MB; it is kept with the corpus.
     """
+    name = stream_name(checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            upsert_batch(batch, batch_id, path, id_col, order_by, buckets)
+            upsert_batch(batch, batch_id, path, id_col, order_by, buckets, name)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
-        **(trigger or {"availableNow": True})
-    ).start()
+        **(trigger or {"availableNow": True})).start()
+
+
+def open_upserted(spark: SparkSession, path: str, id_col: str, seq_col: str | None = None, fields: dict | None = None) -> Corpus:
+    """The stored corpus as of the last finished write."""
+    rows = _current(spark, path)
+    if rows is None:  # all buckets are empty: the columns still come from the data
+        rows = spark.read.parquet(f"{path}/data").drop(WRITE).where("false")
+    return Corpus(rows.drop(BUCKET), id_col, fields, seq_col=seq_col, unique_ids=True)
+
+
+def delete_stored(spark: SparkSession, path: str, id_col: str, ids: DataFrame) -> None:
+    """Remove the rows whose id is among ``ids`` (a table with the id column)."""
+    log = manifest(spark, path)
+    buckets = _buckets(log, None)
+    ids = ids.select(id_col).distinct()
+    touched = sorted(r[0] for r in ids.select(_bucket(id_col, buckets)).distinct().collect())
+    stored = _current(spark, path, touched)
+    if stored is not None:
+        _rewrite(spark, path, log, stored.join(ids, id_col, "left_anti"), touched, buckets, "delete", uuid.uuid4().int >> 66)
+
+
+def delete_where_stored(spark: SparkSession, path: str, id_col: str, query: Query, fields: dict | None = None) -> None:
+    """Remove the rows that match ``query``."""
+    corpus = open_upserted(spark, path, id_col, fields=fields)
+    compiler = Compiler(corpus)
+    hit = F.coalesce(compiler.compile(query).match, F.lit(False))
+    frame = compiler.features.scan_frame(scan_base(corpus, compiler.features))
+    delete_stored(spark, path, id_col, frame.where(hit).select(id_col))
+
+
+def truncate_stored(spark: SparkSession, path: str) -> None:
+    """Remove every row; the schema stays."""
+    log = manifest(spark, path)
+    buckets = _buckets(log, None)
+    held = [r[0] for r in log.select("bucket").distinct().collect()]
+    _commit(spark, path, log, [("truncate", uuid.uuid4().int >> 66, buckets, b, True, "") for b in held])
+
+
+def compact(spark: SparkSession, path: str, target: str, id_col: str, buckets: int | None = None) -> None:
+    """Write the current rows to a fresh folder, as one version and with any number of buckets; ``path`` can then go."""
+    log = manifest(spark, path)
+    buckets = buckets or _buckets(log, None)
+    rows = open_upserted(spark, path, id_col).df.withColumn(BUCKET, _bucket(id_col, buckets))
+    _rewrite(spark, target, manifest(spark, target), rows, list(range(buckets)), buckets, "compact", 0)
