@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import textquarry as q
 from textquarry import Corpus, of_kind, text
 from textquarry.catalog.shared import TOK, bm25_sql, docs, of_table, scored_sql, table
-from textquarry.functions.values import json_value
+from textquarry.functions.values import facet_ancestors, json_value
 from textquarry.operators.aggregate import (
     Avg, Bucket, Cardinality, Concat, Count, DateHistogram, Histogram, Max, Min, Percentiles, Ranges, Stats, Sum,
     Terms, aggregate,
@@ -18,6 +18,8 @@ from textquarry.operators.distinct import distinct_page, distinct_values
 from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.search import ByField, IndexOrder, count, matches, search
 from textquarry.sources import maintain
+from textquarry.sources.scratch import scratch_path
+from textquarry.streaming import ingest
 
 QUERIES, ORACLE = {}, {}
 
@@ -40,8 +42,8 @@ def _rows(load, query, *columns):
 # -- predicates ----------------------------------------------------------------
 
 register("all_rows", lambda spark, sf: count(orders(spark, sf), q.All()), "SELECT count(*) AS total FROM orders")
-register("no_rows", lambda spark, sf: count(orders(spark, sf), q.Nothing()),
-         "SELECT 0::BIGINT AS total FROM (SELECT count(*) FROM orders)")
+register("no_rows", lambda spark, sf: count(orders(spark, sf), q.Bool(should=[q.Nothing(), q.Term("o_orderstatus", "F")])),
+         "SELECT count(*) AS total FROM orders WHERE o_orderstatus = 'F'")
 register("term_raw", _rows(orders, q.Term("o_orderstatus", "F"), "o_orderkey"),
          "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'")
 register(
@@ -90,8 +92,11 @@ register("regex_full", _rows(pages, q.Regex("url", r"https?://m\.[a-z]+\.example
 register("fuzzy_string", _rows(part, q.Fuzzy("p_type", "SMLAL", 1, transpositions=True), "p_partkey"),
          "SELECT p_partkey FROM part WHERE damerau_levenshtein(p_type, 'SMLAL') <= 1")
 register("drill_down", _rows(docs, q.DrillDown("path", ["en"]), "doc_id"), "SELECT doc_id FROM documents WHERE lang = 'en'")
-register("drill_down_level", _rows(docs, q.DrillDown("path", ["en"], only_this_level=True), "doc_id"),
-         "SELECT doc_id FROM documents WHERE '/' || lang || '/' || source = '/en'")
+register(
+    "drill_down_level",
+    _rows(docs, q.Bool(should=[q.DrillDown("path", [lang, *rest], only_this_level=True) for lang, rest in (("en", ()), ("en", ("src1",)), ("de", ("src2",)))]), "doc_id"),
+    "SELECT doc_id FROM documents WHERE '/' || lang || '/' || source IN ('/en', '/en/src1', '/de/src2')",
+)
 
 
 def _addresses(spark, sf):
@@ -378,8 +383,8 @@ register(
 register(
     "append",
     lambda spark, sf: maintain.append(customer(spark, sf), table(spark, sf, "customer").select("c_custkey", "c_name"))
-    .df.groupBy(F.col("c_mktsegment").isNull().alias("partial")).agg(F.count(F.lit(1)).alias("n")),
-    "SELECT false AS partial, count(*) AS n FROM customer UNION ALL SELECT true, count(*) FROM customer",
+    .df.select("c_custkey", "c_name", "c_mktsegment"),
+    "SELECT c_custkey, c_name, c_mktsegment FROM customer UNION ALL SELECT c_custkey, c_name, NULL FROM customer",
 )
 register(
     "delete_by_id",
@@ -401,6 +406,65 @@ register(
 )
 register(
     "truncate",
-    lambda spark, sf: count(maintain.truncate(customer(spark, sf))),
-    "SELECT 0::BIGINT AS total FROM (SELECT count(*) FROM customer)",
+    lambda spark, sf: maintain.append(maintain.truncate(customer(spark, sf)), table(spark, sf, "customer").where("c_acctbal < 0")).df.select("c_custkey", "c_name"),
+    "SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0",
+)
+
+
+def _stored(spark, sf):
+    """Customers stored by id bucket, then updated by a second and a late third batch."""
+    path = scratch_path(spark, "stored")
+    ingest.upsert_batch(table(spark, sf, "customer").withColumn("at", F.lit(0)), 0, path, "c_custkey", "at", 8)
+    ingest.upsert_batch(_renamed(spark, sf), 1, path, "c_custkey", "at")
+    ingest.upsert_batch(_renamed(spark, sf).where("at = 1"), 2, path, "c_custkey", "at")
+    return path
+
+
+def _stored_rows(spark, path):
+    return ingest.open_upserted(spark, path, "c_custkey").df.select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("c_acctbal"))
+
+
+def _stored_delete(spark, sf):
+    path = _stored(spark, sf)
+    ids = table(spark, sf, "orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"))
+    ingest.delete_stored(spark, path, "c_custkey", ids)
+    ingest.delete_where_stored(spark, path, "c_custkey", q.Range("c_acctbal", lt=0.0))
+    return _stored_rows(spark, path)
+
+
+_UPDATED = (
+    "SELECT c_custkey, c_name, round(CASE WHEN c_nationkey = 7 THEN c_acctbal + 1 ELSE c_acctbal END, 2) AS c_acctbal FROM customer "
+    "UNION ALL SELECT c_custkey + 10000000, c_name, round(c_acctbal + 1, 2) FROM customer WHERE c_nationkey = 7"
+)
+register("stored_upsert", lambda spark, sf: _stored_rows(spark, _stored(spark, sf)), _UPDATED)
+register(
+    "stored_delete", _stored_delete,
+    f"SELECT * FROM ({_UPDATED}) WHERE c_acctbal >= 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)",
+)
+register(
+    "save_open",
+    lambda spark, sf: matches(customer(spark, sf).save(scratch_path(spark, "saved"), cluster_by_id=True), q.Range("c_acctbal", gte=5000.0)).select("c_custkey", "c_name"),
+    "SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 5000",
+)
+
+
+def _typed(spark, sf):
+    """Orders with a flag, an unsigned number and bytes."""
+    df = table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_totalprice") > 200000).alias("big"), F.col("o_orderkey").cast("decimal(20,0)").alias("u"), F.encode("o_orderpriority", "UTF-8").alias("raw"))
+    return Corpus(df, "o_orderkey")
+
+
+register("term_bool", _rows(_typed, q.Term("big", True), "o_orderkey"), "SELECT o_orderkey FROM orders WHERE o_totalprice > 200000")
+register("range_u64", _rows(_typed, q.Range("u", gte=100, lt=900), "o_orderkey"), "SELECT o_orderkey FROM orders WHERE o_orderkey >= 100 AND o_orderkey < 900")
+register("term_bytes", _rows(_typed, q.Term("raw", b"1-URGENT"), "o_orderkey"), "SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'")
+register(
+    "payload_doc",
+    lambda spark, sf: search(customer(spark, sf), q.Range("c_acctbal", gte=9000.0), limit=25, sort=[ByField("c_acctbal", descending=True)], with_score=False, payload="doc").drop("id"),
+    "SELECT row_number() OVER (ORDER BY c_acctbal DESC, c_custkey)::INT AS rank, * FROM customer WHERE c_acctbal >= 9000 ORDER BY rank LIMIT 25",
+)
+register(
+    "facet_levels",
+    lambda spark, sf: docs(spark, sf).df.select(F.explode(facet_ancestors(F.col("path"))).alias("level")).groupBy("level").agg(F.count("*").alias("n")),
+    "SELECT level, count(*) AS n FROM (SELECT '/' || lang AS level FROM documents UNION ALL SELECT '/' || lang || '/' || source FROM documents) GROUP BY level",
 )

@@ -97,8 +97,8 @@ register(
 )
 register(
     "must_not_only",
-    lambda spark, sf: count(docs(spark, sf), q.Bool(must_not=[q.Match("the")])),
-    "SELECT 0::BIGINT AS total FROM (SELECT count(*) FROM documents)",
+    lambda spark, sf: count(docs(spark, sf), q.Bool(should=[q.Bool(must_not=[q.Match("the")]), q.Match("ndat")])),
+    f"WITH {TOK} SELECT count(DISTINCT doc_id) AS total FROM tok WHERE term = 'ndat'",
 )
 register("boost", _scored(q.Boost(q.Match("estion"), 2.5)), _all_sql(["estion"], "f0 > 0", "2.5 * s0"))
 register(
@@ -138,6 +138,7 @@ register("token_in", _ids(q.In("text", ["ndat", "esat", "quibble"])), _token_sql
 _ASCII = r"regexp_replace(term, '[^\x00-\x7F]', '~', 'g')"
 register("fuzzy", _ids(q.Fuzzy("text", "estion", 1)), _token_sql(f"levenshtein({_ASCII}, 'estion') <= 1"))
 register("fuzzy_two", _ids(q.Fuzzy("text", "thousand", 2)), _token_sql(f"levenshtein({_ASCII}, 'thousand') <= 2"))
+register("fuzzy_three", _ids(q.Fuzzy("text", "thousaxyz", 3)), _token_sql(f"levenshtein({_ASCII}, 'thousaxyz') <= 3"))
 register("fuzzy_transpositions", _ids(q.Fuzzy("text", "etsion", 1, transpositions=True)),
          _token_sql(f"damerau_levenshtein({_ASCII}, 'etsion') <= 1"))
 register(
@@ -175,6 +176,8 @@ register(
     _phrase_sql(["of"], ["t1.pos = t0.pos + 1 AND t1.term IN (SELECT DISTINCT term FROM tok WHERE starts_with(term, 'th') "
                          "ORDER BY term LIMIT 20)"], [0]),
 )
+register("phrase_prefix_all", _scored(q.PhrasePrefix("text", ["of", "th"])),
+         _phrase_sql(["of"], ["t1.pos = t0.pos + 1 AND starts_with(t1.term, 'th')"], [0]))
 register("match_phrase", _scored(q.Match("Of, the", phrase=True)),
          _phrase_sql(["of", "the"], ["t1.term = 'the' AND t1.pos = t0.pos + 1"], [0, 1]))
 
@@ -361,4 +364,5 @@ register(
     "SELECT p_partkey, len(ts)::INT AS n, md5(array_to_string(ts, chr(10))) AS digest FROM (SELECT p_partkey, "
     "[lower(left(p_name, k)) FOR k IN range(3, least(10, length(p_name)) + 1)] AS ts FROM part)",
 )
+register("tokenize_en_stem", _tokens("en_stem"))
 register("tokenize_english_stem", _tokens("english_stem"))  # no stemmer in the SQL engine; see the unit test

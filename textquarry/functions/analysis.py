@@ -5,7 +5,7 @@ length filter leaves a NULL, so later tokens keep their positions and a phrase
 cannot close over the hole. ``tokenize`` is the same array without the holes.
 
 Everything but stemming is a JVM expression. Stemming runs as an Arrow UDF on
-the token array (no shuffle); each task remembers the words it has stemmed.
+the token array (no shuffle) that stems the distinct words of a batch.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ CASE_KEEPING = ("raw", "simple", "whitespace_raw")
 
 # Ship the stemmer's code with the UDF, so workers need no installed package.
 cloudpickle.register_pickle_by_value(stemmer)
-_stem_tokens = F.pandas_udf(stemmer.stem_series, T.ArrayType(T.StringType()))
+_stem_tokens = F.arrow_udf(stemmer.stem_arrays, T.ArrayType(T.StringType()))
 
 
 def check_analyzer(name: str) -> str:

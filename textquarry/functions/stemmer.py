@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # Fixed values of the published algorithm.
 VOWELS = "aeiouy"
@@ -119,16 +120,21 @@ _stems: dict[str, str] = {}
 _STEMS_KEPT = 1 << 18
 
 
-def stem_series(tokens: pd.Series) -> pd.Series:
-    """Stem a batch of token arrays, looking each distinct word up only once per task."""
-    def stem(word):
-        if word is None:
-            return None
-        found = _stems.get(word)
-        if found is None:
-            if len(_stems) >= _STEMS_KEPT:
-                _stems.clear()
-            found = _stems[word] = stem_word(word)
-        return found
-
-    return tokens.map(lambda words: None if words is None else [stem(w) for w in words])
+def _stem(word: str | None) -> str | None:
+    if word is None:
+        return None
+    found = _stems.get(word)
+    if found is None:
+        if len(_stems) >= _STEMS_KEPT:
+            _stems.clear()
+        found = _stems[word] = stem_word(word)
+    return found
+
+
+def stem_arrays(tokens: pa.Array) -> pa.Array:
+    """Stem a batch of token arrays: only its distinct words are looked at, the rest is a dictionary lookup."""
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0)
+    words = tokens.flatten().cast(pa.string()).dictionary_encode()
+    stems = pa.array([_stem(w) for w in words.dictionary.to_pylist()], pa.string()).take(words.indices)
+    offsets = pc.cumulative_sum(pa.concat_arrays([pa.array([0], pa.int32()), sizes.cast(pa.int32())]))
+    return pa.ListArray.from_arrays(offsets, stems, mask=pc.is_null(tokens))

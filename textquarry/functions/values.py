@@ -4,6 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def epoch_millis(value: Column, kind: T.DataType) -> Column:
+    """Milliseconds since 1970 of a date or time; without a zone it reads as UTC, whatever the session's zone is."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_millis(value)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint") * 86_400_000
+    days, seconds = F.unix_date(value.cast("date")).cast("bigint"), F.floor(F.extract(F.lit("SECOND"), value) * 1000).cast("bigint")
+    return days * 86_400_000 + F.hour(value) * 3_600_000 + F.minute(value) * 60_000 + seconds
+
+
+def from_epoch_millis(millis: Column, kind: T.DataType) -> Column:
+    """The reverse of ``epoch_millis``; a date comes back as a time."""
+    if isinstance(kind, T.TimestampNTZType):
+        zero = F.lit("1970-01-01").cast("timestamp_ntz")
+        return zero + F.make_dt_interval(secs=(millis / 1000).cast("decimal(18,6)"))
+    return F.timestamp_millis(millis)
 
 
 def html_escape(text: Column) -> Column:

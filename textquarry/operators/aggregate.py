@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 
 from textquarry.errors import RequestError
 from textquarry.functions.analysis import field_slots
+from textquarry.functions.values import epoch_millis, from_epoch_millis
 from textquarry.operators.search import Relevance, sort_columns
 from textquarry.plans.frames import matching, share
 from textquarry.plans.query import Query
@@ -355,19 +358,25 @@ class _Plan:
             rows = rows.withColumn("__v", spec.column).where(F.col("__v").isNotNull())
         value = F.col("__v")
         if isinstance(a, Histogram):
-            key = F.floor(value.cast("double") / a.interval)
-            return rows.withColumn(name, key).drop("__v")
+            place = value.cast("double") / a.interval
+            return rows.withColumn(name, F.floor(place)).where(F.abs(place) < 2.0 ** 63).drop("__v")
         if isinstance(a, DateHistogram):
             step, shift = parse_duration(a.fixed_interval), parse_duration(a.offset)
-            millis = F.unix_millis(value.cast("timestamp")) - shift
+            millis = epoch_millis(value, spec.element_type) - shift
             return rows.withColumn(name, F.floor(millis / F.lit(step))).drop("__v")
-        specs = self.bucket_list(a)
-        number = value.cast("double")
-        fits = F.filter(
-            specs,
-            lambda b: (b["from"].isNull() | (number >= b["from"])) & (b["to"].isNull() | (number < b["to"])),
-        )
-        return rows.select("*", F.explode(fits).alias("__b")).withColumn(name, F.col("__b.pos")).drop("__v", "__b")
+        number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+        def fits(i: int, b) -> Column:
+            tests = [number.isNotNull()]
+            tests += [number >= F.lit(float(b.low))] if b.low is not None else []
+            tests += [number < F.lit(float(b.high))] if b.high is not None else []
+            return F.when(reduce(lambda x, y: x & y, tests), F.lit(i))
+
+        hits = [fits(i, b) for i, b in enumerate(a.buckets)]
+        ends = sorted((b.low if b.low is not None else -math.inf, b.high if b.high is not None else math.inf) for b in a.buckets)
+        if all(high <= low for (_, high), (low, _) in zip(ends, ends[1:])):  # at most one bucket a row
+            return rows.withColumn(name, F.coalesce(*hits)).where(F.col(name).isNotNull()).drop("__v")
+        return rows.select("*", F.explode(F.array_compact(F.array(*hits))).alias(name)).drop("__v")
 
     @staticmethod
     def bucket_list(a: Ranges) -> Column:
@@ -416,9 +425,7 @@ class _Plan:
             return key * F.lit(float(a.interval))
         if isinstance(a, DateHistogram):
             step, shift = parse_duration(a.fixed_interval), parse_duration(a.offset)
-            spec = self.corpus.spec(a.field)
-            shown = T.TimestampNTZType() if isinstance(spec.element_type, T.TimestampNTZType) else T.TimestampType()
-            return F.timestamp_millis(key * step + shift).cast(shown)
+            return from_epoch_millis(key * step + shift, self.corpus.spec(a.field).element_type)
         if isinstance(a, Ranges):
             return F.get(self.bucket_list(a), key)["key"]
         return key

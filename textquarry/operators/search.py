@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textquarry.errors import RequestError
+from textquarry.functions.values import epoch_millis
 from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.snippets import Snippet, add_snippets
 from textquarry.plans.frames import SCORE, matching
@@ -20,8 +21,6 @@ from textquarry.sources.fields import SORT_KINDS
 
 #: A page of hits up to this size is joined back to its rows by broadcast.
 BROADCAST_PAGE = 10_000
-#: With an index, a page up to this size is fetched by a list of ids, which the scan can use to skip files.
-FETCH_BY_ID = 1_000
 #: A page comes out of its sort in one partition; larger ones are spread before highlighting.
 ONE_TASK_PAGE = 1_000
 
@@ -104,7 +103,7 @@ def json_payload(corpus: Corpus, names: Sequence[str]) -> Column:
         if spec.kind == "bytes":
             shown = lambda v: F.lower(F.hex(v))
         elif spec.kind == "date":
-            shown = lambda v: F.unix_millis(v.cast("timestamp"))
+            shown = lambda v, kind=spec.element_type: epoch_millis(v, kind)
         elif spec.kind == "json" and isinstance(spec.element_type, T.StringType):
             shown = F.try_parse_json
         else:
@@ -136,9 +135,7 @@ def search(
     """One page of hits: ``rank``, ``id`` and ``score`` where available, payload, snippets.
 
     ``rank`` starts at ``offset + 1``. ``min_score`` applies before paging, and
-    real scores are kept under a field sort. On an indexed corpus a small page
-    is ranked at once and its rows are then read by id; otherwise nothing runs
-    before the result is used.
+    real scores are kept under a field sort. Nothing runs before the result is used.
     """
     if limit < 0 or offset < 0:
         raise RequestError("limit and offset must not be negative")
@@ -179,12 +176,7 @@ def search(
 
 def _fetch(corpus: Corpus, page: DataFrame, size: int) -> DataFrame:
     """The rows of a ranked page of ids."""
-    key, rows = corpus.key(), corpus.df
-    if corpus.index is not None and size <= FETCH_BY_ID:
-        found = page.collect()
-        rows = rows.where(F.col(f"`{key}`").isin([r[key] for r in found]))
-        page = corpus.spark.createDataFrame(found, page.schema)
-    return rows.join(F.broadcast(page) if size <= BROADCAST_PAGE else page, key)
+    return corpus.df.join(F.broadcast(page) if size <= BROADCAST_PAGE else page, corpus.key())
 
 
 def _name(column: Column) -> str:

@@ -216,7 +216,8 @@ def telling_terms(corpus: Corpus, like: MoreLikeThis) -> list[tuple[str, str, fl
     fields = _text_fields(corpus)
     key = corpus.key()
     spec = corpus.spec(key)
-    source = corpus.df.where(spec.any_value(lambda v: v == literal(spec, like.source_id))).limit(1)
+    source = corpus.df.where(spec.any_value(lambda v: v == literal(spec, like.source_id)))
+    source = source.orderBy(F.to_json(F.struct(*[f"`{c}`" for c in corpus.df.columns]))).limit(1)  # of several rows with that id always the same
     found = _telling_terms(corpus, fields, source, like, None, small=True)
     rows = sorted(found.collect(), key=lambda r: (-r.weight, r.field, r.term))
     if not rows and source.isEmpty():

@@ -81,7 +81,7 @@ def _add_one(page: DataFrame, spec, s: Snippet, terms: list[str]) -> DataFrame:
         )
         cls = f"[{WORD_CHARS}]" if spec.analyzer in WORD_BASED else f"[^{BLANK_CHARS}]"
         df = bind(df, "__words", F.array_distinct(F.transform(hit, lambda e: e["s"])))
-        quoted = F.transform(F.col("__words"), lambda w: F.concat(F.lit("\\Q"), w, F.lit("\\E")))
+        quoted = F.transform(F.col("__words"), lambda w: F.regexp_replace(w, r"([^\p{L}\p{N}])", r"\\$1"))
         pattern = F.concat(F.lit(f"(?<!{cls})(?:"), F.array_join(quoted, "|"), F.lit(f")(?!{cls})"))
         found = F.size("__words") > 0
     else:  # the whole value is the token
@@ -114,8 +114,8 @@ def _add_one(page: DataFrame, spec, s: Snippet, terms: list[str]) -> DataFrame:
     # The window that starts at an occurrence and holds the most of them; earliest wins.
     scored = F.transform(
         spans,
-        lambda w: F.struct(
-            F.size(F.filter(spans, lambda o: (o["a"] >= w["a"]) & (o["b"] <= w["a"] + room))).alias("n"),
+        lambda w, i: F.struct(  # spans are in order and at least one character long
+            F.size(F.filter(F.slice(spans, i + 1, room), lambda o: o["b"] <= w["a"] + room)).alias("n"),
             (-w["a"]).alias("at"),
         ),
     )

@@ -207,7 +207,9 @@ class Compiler:
     @_node.register
     def _(self, q: Q.Fuzzy, path: str) -> Part:
         spec = self._string_field(q.field, "fuzzy")
-        test = within_edits(q.value, min(q.distance, 2), q.transpositions, q.prefix)
+        if q.transpositions and q.distance > 2:
+            raise RequestError("transpositions as one edit are built for distances up to 2")
+        test = within_edits(q.value, q.distance, q.transpositions, q.prefix)
         return self._term_test(spec, test)
 
     @_node.register

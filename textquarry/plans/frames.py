@@ -75,7 +75,7 @@ def scoring_frame(corpus: Corpus, compiler: Compiler, part: Part, columns: list[
     )
     if not one_pass:
         return with_stats(frame, corpus, features)
-    kept = [c for c in corpus.df.columns if c in columns or c in compiler.row_fields]
+    kept = [c for c in corpus.df.columns if c in columns or c in compiler.row_fields or c == corpus.id_col]
     frame = share(frame.select(*[f"`{c}`" for c in kept], *features.names))
     return with_stats(frame, corpus, features, frame)
 

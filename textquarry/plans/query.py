@@ -117,7 +117,7 @@ class PhrasePrefix(Query):
 
     field: str
     terms: Sequence[str]
-    max_expansions: int | None = 50
+    max_expansions: int | None = None
 
 
 @dataclass(frozen=True)

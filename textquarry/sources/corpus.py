@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textquarry.errors import FieldError
+from textquarry.errors import FieldError, RequestError
 from textquarry.functions.analysis import check_analyzer
 from textquarry.sources.fields import TEXT, FieldSpec, resolve_fields
 
 
+#: Inputs above this size are never reshuffled before analysis.
+SPREAD_BYTES = 256 << 20
+
+
+def _inside(file: str, folder: str) -> bool:
+    plain = lambda p: "/" + unquote(urlparse(p).path).strip("/") + "/"
+    return plain(file).startswith(plain(folder))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Redistribute an input too small to give every core a file split.
 
@@ -23,7 +34,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     split_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split)
     estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(slots, key) if estimate * 4 < slots * split_bytes else df
+    return df.repartition(slots, key) if estimate * 4 < min(slots * split_bytes, 4 * SPREAD_BYTES) else df
 
 
 class Corpus:
@@ -106,6 +117,8 @@ class Corpus:
 
         ``cluster_by_id`` sorts the files by id, so that reading a page of hits skips the others.
         """
+        if mode == "overwrite" and any(_inside(f, path) for f in self.df.inputFiles()):
+            raise RequestError(f"this corpus is read from {path}; overwriting it would remove what is still to be read")
         rows = self.tagged()
         if cluster_by_id:
             rows = rows.repartitionByRange(self.key()).sortWithinPartitions(self.key())

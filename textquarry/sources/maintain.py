@@ -53,13 +53,16 @@ def upsert(corpus: Corpus, rows: DataFrame, *, id_col: str | None = None, order_
     """Replace rows by id.
 
     With ``order_by``, only the last row of each id in ``rows`` is kept;
-    without, ids are taken to be unique there. ``id_col`` overrides the corpus
+    without, an id that comes twice there is an error when the result is read. ``id_col`` overrides the corpus
     id. ``replaces`` names a column of ``rows`` holding the id to remove, when
     that is not the new row's own id.
     """
     key = id_col or corpus.key()
     if order_by is not None:
         rows = latest(rows, replaces or key, order_by)
+    else:
+        single = F.count(F.lit(1)).over(W.partitionBy(replaces or key)) == 1
+        rows = rows.withColumn("__single", single).where(F.assert_true("__single", "upsert: an id comes twice; give order_by").isNull()).drop("__single")
     extra = {c for c in (order_by, replaces) if c and c not in corpus.df.columns}
     gone = rows.select(F.col(f"`{replaces or key}`").alias(key))
     kept = corpus.df.join(gone, key, "left_anti").select(*[f"`{c}`" for c in corpus.df.columns])

@@ -7,8 +7,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from textquarry.errors import RequestError
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared folder; a local one only if none is named."""
+    """A fresh path under the cluster's shared folder; a local one only in local mode, where none need be named."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local"):
+        raise RequestError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared or tempfile.mkdtemp(prefix='textquarry-')}/{name}-{uuid.uuid4().hex}"
