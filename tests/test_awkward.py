@@ -4,12 +4,14 @@ import datetime as dt
 
 import pytest
 
-from textquarry import Corpus, RequestError, text
+from textquarry import Corpus, RequestError, of_kind, text
 from textquarry.operators.aggregate import Bucket, DateHistogram, Histogram, Ranges, aggregate
+from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.search import ByField, matches, search
 from textquarry.operators.snippets import Snippet
 from textquarry.plans.query import Bool, Fuzzy, Term
 from textquarry.sources.maintain import delete, upsert
+from textquarry.sources.postings import TermIndex
 
 
 def test_nan_and_infinity_fall_into_no_bucket(spark):
@@ -67,3 +69,22 @@ def test_fuzzy_takes_any_distance(spark):
     assert [r.id for r in matches(corpus, Fuzzy("t", "thousaxyz", 3)).collect()] == [1]
     with pytest.raises(RequestError):
         matches(corpus, Fuzzy("t", "thousaxyz", 3, transpositions=True))
+
+
+def test_an_index_follows_appends_and_removals(spark, tmp_path):
+    rows = [(1, "red fox"), (2, "red red dog"), (3, "blue fox"), (4, "fox fox"), (5, "cat")]
+    corpus = lambda some: Corpus(spark.createDataFrame(some, "id long, t string"), "id", {"t": text()})
+    query = Bool(should=[Term("t", "fox"), Term("t", "red")])
+    scores = lambda c: sorted((r.id, round(r.score, 6)) for r in matches(c, query, scored=True, columns=["id"]).collect())
+    index = TermIndex.build(corpus(rows[:3]), str(tmp_path / "a")).append(corpus(rows[3:]), str(tmp_path / "a"))
+    assert scores(corpus(rows).with_index(index)) == scores(corpus(rows))
+    gone = spark.createDataFrame([(2,), (4,)], "id long")
+    left = corpus([r for r in rows if r[0] not in (2, 4)])
+    assert scores(left.with_index(index.remove(gone, str(tmp_path / "b")))) == scores(left)
+
+
+def test_facets_of_several_requests(spark):
+    df = spark.createDataFrame([(1, ["/a/b/c", "/a/d"], "/x"), (2, ["/a/b"], "/y/z"), (3, None, None)], "id long, p array<string>, s string")
+    corpus = Corpus(df, "id", {"p": of_kind("facet"), "s": of_kind("facet")})
+    got = facet_counts(corpus, [Facet("p", ["a"], 1), Facet("s"), Facet("p", ["a", "b"])]).collect()
+    assert [tuple(r) for r in got] == [(0, "p", "/a/b", 2, 3, 2), (1, "s", "/x", 1, 2, 2), (1, "s", "/y", 1, 2, 2), (2, "p", "/a/b/c", 1, 1, 1)]

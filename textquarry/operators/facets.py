@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textquarry.errors import RequestError
@@ -25,6 +26,12 @@ class Facet:
     limit: int = 10
 
 
+def _labels(paths: Column, where: str, request: int) -> Column:
+    """The distinct children of ``where`` among the paths of a row, each with the number of the request."""
+    children = F.array_compact(F.array_distinct(F.transform(paths, lambda p: facet_child(p, where))))
+    return F.transform(children, lambda c: F.struct(F.lit(request).alias("request"), c.alias("label")))
+
+
 def facet_counts(corpus: Corpus, facets: Sequence[Facet], query: Query | None = None) -> DataFrame:
     """``request, field, label, count, total_count, child_count``, largest children first.
 
@@ -35,25 +42,20 @@ def facet_counts(corpus: Corpus, facets: Sequence[Facet], query: Query | None =
     if not facets:
         raise RequestError("no facet requested")
     rows = matching(corpus, query, columns=list(dict.fromkeys(f.field for f in facets)))
-    out = None
+    found = []
     for i, facet in enumerate(facets):
         spec = corpus.spec(facet.field)
         if spec.kind != FACET:
             raise RequestError(f"{facet.field!r} is not a facet field")
         where = facet_path(facet.path)
-        if spec.multi:  # distinct children inside the row: no shuffle for the distinct
-            children = F.array_compact(F.array_distinct(F.transform(spec.column, lambda p: facet_child(p, where))))
-            labels = rows.select(F.explode(children).alias("label"))
-        else:
-            labels = rows.select(facet_child(spec.column, where).alias("label")).where(F.col("label").isNotNull())
-        counts = share(labels.groupBy("label").agg(F.count(F.lit(1)).alias("count")))
-        totals = counts.agg(F.struct(
-            F.sum("count").alias("total_count"), F.count(F.lit(1)).alias("child_count"),
-        ).alias("t"))
-        part = (
-            counts.orderBy(F.desc("count"), "label").limit(facet.limit)
-            .withColumn("__t", totals.scalar())
-            .select(F.lit(i).alias("request"), F.lit(facet.field).alias("field"), "label", "count", "__t.*")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+        paths = spec.column if spec.multi else F.array(spec.column)
+        found.append(_labels(paths, where, i))
+    # One pass for all requests: a row's distinct children are found inside the row.
+    labels = rows.select(F.explode(F.flatten(F.array(*[F.coalesce(f, F.array().cast("array<struct<request:int,label:string>>")) for f in found]))).alias("f"))
+    counts = share(labels.groupBy("f.request", "f.label").agg(F.count(F.lit(1)).alias("count")))
+    totals = counts.groupBy("request").agg(F.sum("count").alias("total_count"), F.count(F.lit(1)).alias("child_count"))
+    place = F.row_number().over(W.partitionBy("request").orderBy(F.desc("count"), "label"))
+    of_request = lambda values: F.get(F.array(*map(F.lit, values)), F.col("request"))
+    top = counts.withColumn("__place", place).where(F.col("__place") <= max(f.limit for f in facets)).where(F.col("__place") <= of_request([f.limit for f in facets]))
+    return top.join(F.broadcast(totals), "request").orderBy("request", "__place").select(
+        "request", of_request([f.field for f in facets]).alias("field"), "label", "count", "total_count", "child_count")

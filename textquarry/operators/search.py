@@ -77,7 +77,7 @@ def _payload(corpus: Corpus, mode: str, fields: Sequence[str]) -> list[Column]:
     for f in fields:
         if f not in columns:
             raise RequestError(f"no column {f!r} to return")
-    if mode == "doc":
+    if mode in ("doc", "doc_and_indexes"):  # columns hold both
         return [F.col(f"`{c}`") for c in columns]
     if mode == "materialized":
         return [F.col(f"`{c}`") for c in (fields or columns)]
@@ -88,7 +88,7 @@ def _payload(corpus: Corpus, mode: str, fields: Sequence[str]) -> list[Column]:
         return [(spec.first() if spec else F.col(f"`{fields[0]}`")).alias("value")]
     if mode == "json":
         return [json_payload(corpus, list(fields) or columns).alias("json")]
-    raise RequestError(f"payload must be doc, value, json or materialized, not {mode!r}")
+    raise RequestError(f"payload must be doc, doc_and_indexes, value, json or materialized, not {mode!r}")
 
 
 def json_payload(corpus: Corpus, names: Sequence[str]) -> Column:
@@ -145,7 +145,7 @@ def search(
     scored = ranked or with_score or min_score is not None
 
     # Rank on narrow rows and fetch texts for the page only, where the id allows it.
-    wanted = {"value": list(return_fields[:1]), "doc": []}.get(payload, list(return_fields)) or corpus.df.columns
+    wanted = {"value": list(return_fields[:1]), "doc": [], "doc_and_indexes": []}.get(payload, list(return_fields)) or corpus.df.columns
     has_text = bool(snippets) or bool(set(wanted) & set(corpus.text_fields))
     late = corpus.index is not None or (has_text and scored and corpus.unique_ids)
     if late:

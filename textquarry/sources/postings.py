@@ -22,6 +22,14 @@ from textquarry.sources.corpus import Corpus
 INLINE_TERMS = 2000
 
 
+def _write_postings(rows: DataFrame, path: str, mode: str) -> None:
+    """Sorted by term and id, so that a query reads the row groups of its terms."""
+    (
+        rows.repartitionByRange("field", "term", "doc_id").sortWithinPartitions("field", "term", "doc_id")
+        .write.mode(mode).partitionBy("field").parquet(f"{path}/postings")
+    )
+
+
 class TermIndex:
     def __init__(self, postings: DataFrame, terms: DataFrame, lengths: DataFrame):
         self.postings, self.terms, self.lengths = postings, terms, lengths
@@ -30,27 +38,43 @@ class TermIndex:
     def build(cls, corpus: Corpus, path: str, fields: list[str] | None = None, mode: str = "errorifexists") -> TermIndex:
         """Write the index of ``fields`` (all text fields by default) under ``path``."""
         fields = fields or corpus.text_fields
-        rows = term_rows(corpus, fields, positions=True)
-        (
-            rows.repartitionByRange("field", "term", "doc_id")
-            .sortWithinPartitions("field", "term", "doc_id")
-            .write.mode(mode).partitionBy("field").parquet(f"{path}/postings")
-        )
-        stored = corpus.spark.read.parquet(f"{path}/postings")
+        _write_postings(term_rows(corpus, fields, positions=True), path, mode)
+        return cls._summarise(corpus.spark, path, fields, corpus.df.count(), mode)
+
+    @classmethod
+    def _summarise(cls, spark: SparkSession, path: str, fields: list[str], n_docs: int, mode: str) -> TermIndex:
+        """Dictionary and lengths from the stored postings."""
+        stored = spark.read.parquet(f"{path}/postings")
         (
             stored.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
             .repartitionByRange("field", "term").sortWithinPartitions("field", "term")
             .write.mode(mode).partitionBy("field").parquet(f"{path}/terms")
         )
-        n_docs = corpus.df.agg(F.count(F.lit(1)).alias("n"))
         totals = stored.groupBy("field").agg(F.sum("tf").alias("total"))
-        names = corpus.spark.createDataFrame([(f,) for f in fields], "field string")
+        names = spark.createDataFrame([(f,) for f in fields], "field string")
         (
             names.join(totals, "field", "left")
-            .select("field", n_docs.scalar().alias("n"), F.coalesce("total", F.lit(0)).alias("total"))
+            .select("field", F.lit(n_docs).cast("bigint").alias("n"), F.coalesce("total", F.lit(0)).alias("total"))
             .write.mode(mode).parquet(f"{path}/lengths")
         )
-        return cls.open(corpus.spark, path)
+        return cls.open(spark, path)
+
+    def _held(self) -> tuple[list[str], int]:
+        rows = self.lengths.collect()  # one row per field
+        return [r.field for r in rows], max([r.n for r in rows], default=0)
+
+    def append(self, added: Corpus, path: str) -> TermIndex:
+        """The index at ``path`` with the rows of ``added`` too: only their texts are analysed, the dictionary is summed anew."""
+        fields, n = self._held()
+        _write_postings(term_rows(added, fields, positions=True), path, "append")
+        return self._summarise(added.spark, path, fields, n + added.df.count(), "overwrite")
+
+    def remove(self, gone: DataFrame, target: str) -> TermIndex:
+        """The index at ``target`` without the rows whose ids are in ``gone`` (one column, each an id of an indexed row)."""
+        fields, n = self._held()
+        gone = gone.toDF("doc_id").distinct()
+        _write_postings(self.postings.join(gone, "doc_id", "left_anti"), target, "errorifexists")
+        return self._summarise(gone.sparkSession, target, fields, n - gone.count(), "errorifexists")
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> TermIndex:
