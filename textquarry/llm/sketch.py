@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,11 +26,13 @@ def _sparse(part: int, lane: int, cells: np.ndarray, counts: np.ndarray) -> pa.R
     })
 
 
-def _added(table: pa.Table, span: int, most: int) -> np.ndarray:
+def _added(batches: Iterator[pa.RecordBatch], span: int, most: int) -> np.ndarray:
+    """Counters of a part, added up as the batches stream in."""
     total = np.zeros(span, np.uint8)
-    for size, gaps, counts in zip(*(table.column(c).to_pylist() for c in ("size", "gaps", "counts"))):
-        cells = np.cumsum(np.frombuffer(pa.decompress(gaps, size * 4, codec="zstd"), np.uint32))
-        total[cells] = np.minimum(total[cells] + np.frombuffer(pa.decompress(counts, size, codec="zstd"), np.uint8), most)
+    for batch in batches:
+        for size, gaps, counts in zip(*(batch.column(c).to_pylist() for c in ("size", "gaps", "counts"))):
+            cells = np.cumsum(np.frombuffer(pa.decompress(gaps, size * 4, codec="zstd"), np.uint32))
+            total[cells] = np.minimum(total[cells] + np.frombuffer(pa.decompress(counts, size, codec="zstd"), np.uint8), most)
     return total
 
 
@@ -52,14 +56,14 @@ def sketch(df: DataFrame, hashes_of, bits: int, at_least: int) -> np.ndarray:
                 own = slice(cut[part], cut[part + 1])
                 yield _sparse(row * PARTS + int(part), lane, cells[own] - np.uint64(int(part) * span), np.minimum(counts[own], at_least).astype(np.uint8))
 
-    def merge(key, table):
-        total = _added(table, span, at_least)
+    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = _added(batches, span, at_least)
         cells = np.flatnonzero(total)
-        return pa.Table.from_batches([_sparse(key[0].as_py(), key[1].as_py(), cells, total[cells])])
+        yield _sparse(key[0].as_py(), key[1].as_py(), cells, total[cells])
 
-    def finish(key, table):
-        packed = np.packbits(_added(table, span, at_least) >= at_least)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([packed.tobytes()])})
+    def finish(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = np.packbits(_added(batches, span, at_least) >= at_least)
+        yield pa.record_batch({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([packed.tobytes()])})
 
     schema = "part int, lane int, size int, gaps binary, counts binary"
     partial = df.mapInArrow(count, schema).groupBy("part", "lane").applyInArrow(merge, schema)
