@@ -1,11 +1,12 @@
 """Values, words and requests that once went wrong."""
 
 import datetime as dt
+import random
 
 import pytest
 
 from textquarry import Corpus, RequestError, of_kind, text
-from textquarry.operators.aggregate import Bucket, DateHistogram, Histogram, Ranges, aggregate
+from textquarry.operators.aggregate import Bucket, DateHistogram, Histogram, Percentiles, Ranges, Terms, aggregate
 from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.search import ByField, matches, search
 from textquarry.operators.snippets import Snippet
@@ -88,3 +89,24 @@ def test_facets_of_several_requests(spark):
     corpus = Corpus(df, "id", {"p": of_kind("facet"), "s": of_kind("facet")})
     got = facet_counts(corpus, [Facet("p", ["a"], 1), Facet("s"), Facet("p", ["a", "b"])]).collect()
     assert [tuple(r) for r in got] == [(0, "p", "/a/b", 2, 3, 2), (1, "s", "/x", 1, 2, 2), (1, "s", "/y", 1, 2, 2), (2, "p", "/a/b/c", 1, 1, 1)]
+
+
+def test_exact_percentiles(spark):
+    pick = random.Random(5)
+    values = [(k, pick.choice("ab"), float(pick.choice([pick.randrange(9), pick.randrange(100_000)]))) for k in range(3000)] + [(9000, "c", 4.0), (9001, "d", None)]
+    corpus = Corpus(spark.createDataFrame(values, "id long, g string, v double"), "id")
+    percents = [0.0, 1.0, 37.5, 50.0, 95.0, 99.9, 100.0]
+
+    def want(held):
+        held = sorted(held)
+        at = [(len(held) - 1) * p / 100 for p in percents]
+        return [held[int(x)] * (1 - x % 1) + held[min(int(x) + 1, len(held) - 1)] * (x % 1) for x in at]
+
+    ask = Percentiles("p", "v", percents, exact=True)
+    got = aggregate(corpus, [ask]).metrics.first().p
+    assert [got[str(p)] for p in percents] == pytest.approx(want([v for _, _, v in values if v is not None]))
+    rows = {r.t: r.p for r in aggregate(corpus, [Terms("t", "g", sub=[ask])]).buckets["t"].collect()}
+    for g in "abc":
+        assert [rows[g][str(p)] for p in percents] == pytest.approx(want([v for _, h, v in values if h == g]))
+    assert rows["d"] is None
+    assert aggregate(corpus, [ask], Term("g", "none")).metrics.first().p is None

@@ -288,26 +288,66 @@ class _Plan:
             return F.count_distinct(value) if a.exact else F.approx_count_distinct(value, a.rsd)
         percents = [float(p) for p in (a.percents or DEFAULT_PERCENTS)]
         shares = F.array(*[F.lit(p / 100.0) for p in percents])
-        if a.exact:
-            points = F.percentile(value.cast("double"), shares)
-        else:
-            points = F.percentile_approx(value.cast("double"), shares, a.accuracy)
+        points = F.percentile_approx(value.cast("double"), shares, a.accuracy)
         keys = F.array(*[F.lit(str(p)) for p in percents])
         return F.when(points.isNotNull(), F.map_from_arrays(keys, points))
 
+    def exact_percentiles(self, rows: DataFrame, keys: list[str], a: Percentiles) -> DataFrame:
+        """Interpolated percentiles without holding a group's values anywhere.
+
+        A sketch brackets each percentile; the values below the bracket are counted, and only the few distinct ones inside
+        it are ordered. Its neighbours on both sides are kept for brackets that miss a rank by one.
+        """
+        spec, accuracy = self.corpus.spec(a.field), 10_000
+        percents = [float(p) for p in (a.percents or DEFAULT_PERCENTS)]
+        number = (F.explode(spec.values()) if spec.multi else spec.column).alias("__v")
+        values = rows.select(*keys, number).select(*keys, F.col("__v").cast("double").alias("__v")).where("__v IS NOT NULL")
+        v = F.col("__v")
+        at = lambda shift: F.percentile_approx(v, F.array(*[F.lit(min(1.0, max(0.0, p / 100 + shift))) for p in percents]), accuracy)
+        bounds = values.groupBy(*keys).agg(F.struct(F.count("*").alias("n"), at(-2 / accuracy).alias("lo"), at(2 / accuracy).alias("hi")).alias("__b"))
+        near = values.join(bounds, keys) if keys else values.withColumn("__b", bounds.scalar())
+        lo, hi = (lambda i: F.col("__b.lo")[i]), (lambda i: F.col("__b.hi")[i])
+        spots = range(len(percents))
+        sides = near.groupBy(*keys).agg(F.any_value("__b.n").alias("__n"), F.array(*[
+            F.struct(F.count_if(v < lo(i)).alias("below"), F.max(F.when(v < lo(i), v)).alias("before"), F.min(F.when(v > hi(i), v)).alias("after")) for i in spots
+        ]).alias("__sides"))
+        held = F.array_compact(F.array(*[F.when((v >= lo(i)) & (v <= hi(i)), F.lit(i)) for i in spots]))
+        inside = near.select(*keys, F.explode(held).alias("__i"), "__v").groupBy(*keys, "__i", "__v").agg(F.count("*").alias("__c"))
+        upto = F.sum("__c").over(W.partitionBy(*keys, "__i").orderBy("__v"))
+        placed = inside.withColumn("__upto", upto)
+        placed = placed.join(sides, keys) if keys else placed.withColumn("__s", sides.select(F.struct("*").alias("s")).scalar()).select("*", "__s.*")
+        side = F.col("__sides")[F.col("__i")]
+        place = (F.col("__n") - 1) * F.get(F.array(*[F.lit(p / 100) for p in percents]), F.col("__i"))
+        last = F.col("__upto") + side["below"]
+
+        def value_at(rank: Column) -> Column:
+            return F.coalesce(F.max(F.when(rank < side["below"], side["before"])), F.min(F.when(last > rank, v)), F.max(side["after"]))
+
+        low, high = F.floor(place), F.ceil(place)
+        point = placed.groupBy(*keys, "__i").agg(value_at(low).alias("a"), value_at(high).alias("b"), F.max(place).alias("p"))
+        low, high = F.floor("p"), F.ceil("p")
+        shown = F.when(low == high, F.col("a")).otherwise((high - F.col("p")) * F.col("a") + (F.col("p") - low) * F.col("b"))
+        listed = F.array_sort(F.collect_list(F.struct("__i", shown.alias("x"))))
+        names = F.array(*[F.lit(str(p)) for p in percents])
+        found = point.groupBy(*keys).agg(listed.alias("__l"))
+        return found.select(*keys, F.when(F.size("__l") > 0, F.map_from_arrays(names, F.col("__l.x"))).alias(a.name))
+
     def metrics(self, rows: DataFrame, keys: list[str], metrics: Sequence[Agg], counted: bool = False) -> DataFrame:
         """One grouped pass; sketches over multi-valued fields need one of their own each."""
         apart = [
             a for a in metrics
-            if isinstance(a, (Cardinality, Percentiles)) and self.corpus.spec(a.field).multi
+            if isinstance(a, (Cardinality, Percentiles)) and (self.corpus.spec(a.field).multi or getattr(a, "exact", False) and isinstance(a, Percentiles))
         ]
         together = [self.metric(a).alias(a.name) for a in metrics if a not in apart]
         if counted:
             together.insert(0, F.count(F.lit(1)).alias(COUNT))
         out = rows.groupBy(*keys).agg(*together) if together else None
         for a in apart:
-            values = rows.select(*keys, F.explode(self.corpus.spec(a.field).values()).alias(a.field))
-            one = values.groupBy(*keys).agg(self.metric(a, exploded=True).alias(a.name))
+            if isinstance(a, Percentiles) and a.exact:
+                one = self.exact_percentiles(rows, keys, a)
+            else:
+                values = rows.select(*keys, F.explode(self.corpus.spec(a.field).values()).alias(a.field))
+                one = values.groupBy(*keys).agg(self.metric(a, exploded=True).alias(a.name))
             if out is None:
                 out = one
             elif keys:
