@@ -30,9 +30,9 @@ def people(spark):
     from textquarry import Corpus, of_kind, text
 
     rows = [
-        ("a", "Alice In Wonderland", 30, "/people/staff"),
-        ("b", "Bob The Builder", 40, "/people/staff"),
-        ("c", "Carol King", 25, "/people/freelance"),
+        ("a", "Mira Of Saltmarsh", 30, "/people/staff"),
+        ("b", "Tomas The Miller", 40, "/people/staff"),
+        ("c", "Ines Stone", 25, "/people/freelance"),
     ]
     df = spark.createDataFrame(rows, "id string, name string, age long, category string")
     return Corpus(df, "id", {"name": text(), "category": of_kind("facet")})
