@@ -81,13 +81,17 @@ def occurrences(rows: DataFrame, items: DataFrame, size: int = 10, slop: int = 0
 
 def exact_places(rows: DataFrame, places: DataFrame, owned: DataFrame) -> DataFrame:
     """The places whose words are the window's, with the window's length."""
-    phrases = owned.select("number", "window").distinct()
-    asked = places.distinct().join(small(stored(phrases)), "number").groupBy("doc_id", "th").agg(F.collect_list(F.struct("number", "start", "window")).alias("asked"))
-    asked = stored(asked).withColumnsRenamed({"doc_id": "id_", "th": "th_"})
+    phrases = stored(owned.select("number", "window").distinct())
+    longest = phrases.agg(F.max(F.size("window"))).first()[0] or 1
+    asked = stored(places.where("start >= 0").groupBy("doc_id", "th").agg(F.collect_set(F.struct("number", "start")).alias("asked")))
+    candidates = asked.agg(F.sum(F.size("asked"))).first()[0] or 0
+    asked = asked.withColumnsRenamed({"doc_id": "id_", "th": "th_"})
     same_row = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("th") == F.col("th_"))
-    texts = rows.join(small(asked, 10_000), same_row).dropDuplicates(["doc_id", "th"]).select("doc_id", "th", words(F.col("text")).alias("w"), "asked")
-    right = F.filter("asked", lambda p: (p["start"] >= 0) & (F.slice("w", F.greatest(p["start"], F.lit(0)) + 1, F.size(p["window"])) == p["window"]))
-    return texts.select("doc_id", "th", F.explode(right).alias("p")).select("doc_id", "th", "p.number", "p.start", F.size("p.window").alias("length"))
+    texts = rows.join(F.broadcast(asked) if candidates <= BROADCAST_ROWS else asked, same_row).dropDuplicates(["doc_id", "th"])
+    found = texts.select("doc_id", "th", words(F.col("text")).alias("w"), "asked").select(
+        "doc_id", "th", F.explode(F.transform("asked", lambda p: F.struct(p["number"].alias("number"), p["start"].alias("start"), F.slice("w", p["start"] + 1, longest).alias("here")))).alias("p"))
+    right = found.select("doc_id", "th", "p.*").join(small(phrases), "number").where(F.slice("here", 1, F.size("window")) == F.col("window"))
+    return right.select("doc_id", "th", "number", "start", F.size("window").alias("length"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
