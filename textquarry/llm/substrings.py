@@ -67,14 +67,14 @@ def covered_windows(runs: DataFrame) -> DataFrame:
     """(doc_id, th, start, n): stretches of windows that also start in a document with a smaller id."""
     order = F.coalesce("doc_id", F.lit(NULL_ID))
     whole = stored(runs.withColumn("doc_id", order).groupBy("gram", "run").agg(F.min("doc_id").alias("least"), F.any_value("windows").alias("windows")))
-    varied = whole.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram")
+    varied = stored(whole.groupBy("gram").agg(F.count("*").alias("k")).where("k > 1").select("gram"))
     single = whole.join(varied, "gram").select("gram", "run", "least", F.posexplode("windows").alias("at", "window"))
     earliest = single.groupBy("gram", "window").agg(F.min("least").alias("first"), F.max("least").alias("last")).where("first < last").select("gram", "window", "first")
     known = (
         single.join(earliest, ["gram", "window"]).where("first < least")
         .groupBy("gram", "run").agg(F.sort_array(F.collect_list(F.col("at").cast("long"))).alias("known"))
     )
-    least = whole.select("gram", "run", "least").join(known, ["gram", "run"], "left")
+    least = stored(whole.select("gram", "run", "least").join(known, ["gram", "run"], "left"))
     placed = runs.select("doc_id", "th", "start", "n", "gram", "run").join(least, ["gram", "run"])
     later = F.coalesce("doc_id", F.lit(NULL_ID)) > F.col("least")
     spans = F.when(later, F.array(F.struct(F.col("start"), F.col("n")))).otherwise(
