@@ -76,7 +76,7 @@ def overlapping(lines: DataFrame, rare: int, several: int) -> DataFrame:
     """Pairs (doc_id, th) and first (doc_id, th of the earlier document) that overlap. ``lines`` has their ``keys``."""
     own = F.size("keys").alias("own")
     single = lines.select("doc_id", "th", own, F.explode("keys").alias("key"))
-    holders = single.groupBy("key").agg(F.count("*").alias("held"), F.min(F.struct("doc_id", "th")).alias("first")).where("held > 1")
+    holders = stored(single.groupBy("key").agg(F.count("*").alias("held"), F.min(F.struct("doc_id", "th")).alias("first")).where("held > 1"))
     shared = single.join(holders, "key").where(F.struct("doc_id", "th") > F.col("first"))
     pairs = shared.groupBy("doc_id", "th", "first").agg(F.count("*").alias("shared"), F.min("held").alias("rarest"), F.any_value("own").alias("own"))
     return pairs.where((F.col("rarest") <= rare) | (F.col("shared") >= F.least(F.lit(several), F.col("own")))).select("doc_id", "th", F.col("first.doc_id").alias("first_id"), F.col("first.th").alias("first_th"))
