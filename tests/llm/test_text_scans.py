@@ -96,6 +96,15 @@ def test_decontamination_matches(spark):
     assert {r.n_hit for r in decontamination.contamination(docs, items.limit(0)).collect()} == {0}
 
 
+def test_decontamination_of_null_ids(spark):
+    passage = "one two three four five six seven eight nine ten eleven"
+    rows = [(None, f"so {passage} then"), (1, passage), (None, "one two three four other"), (2, "nothing of it")]
+    items = [(9, passage), (8, "nothing here")]
+    got = decontamination.contamination(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, len(r.item_ids)) for r in got), key=repr) == sorted((h[:4] for h in brute_hits(rows, items, 10)), key=repr)
+    assert [r.n_hit for r in got if r.doc_id is None and r.n_words == 13] == [11]
+
+
 TEXTS = st.text(st.sampled_from("ab~<|>[]/\n01\\éü😀\x00"), max_size=12)
 
 

@@ -60,7 +60,9 @@ def intersect(postings: DataFrame, looked: DataFrame, slop: int) -> DataFrame:
             other = other.withColumn("start", F.explode(F.sequence(F.col("start") - slop, F.col("start") + slop)))
         deep = looked.where(F.col("rank") == rank).select("number").distinct()
         ends = found.join(small(deep), "number", "left_anti")
-        found = found.join(other, ["doc_id", "th", "number", "start"], "left_semi").unionByName(ends)
+        other = other.withColumnsRenamed({"doc_id": "id_", "th": "th_", "number": "number_", "start": "start_"})
+        same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("th") == F.col("th_")) & (F.col("number") == F.col("number_")) & (F.col("start") == F.col("start_"))
+        found = found.join(other, same, "left_semi").unionByName(ends)
     return found
 
 
