@@ -144,3 +144,14 @@ def test_lines(spark):
         assert ((r.text or ""), r.n_deleted) == want[(key[0], key[1] or "")]
     assert got.count() == len(rows)
     assert lines.dedup_lines(empty(spark)).count() == 0
+
+
+def test_common_lines(spark):
+    """A line goes from every later document however many hold it, alone or with lines first held elsewhere."""
+    notice = " ".join(f"word{n}" for n in range(57))
+    rows = [(k, f"own {k}\n{notice}\nend {k}") for k in range(30)]
+    rows += [(100 + k, f"first {k}\npart {n}") for n in range(3) for k in range(12 * n, 12 * n + 12)]
+    rows += [(200, "part 0\npart 1\npart 2\nlast")]
+    got = {r.doc_id: (r.text, r.n_deleted) for r in lines.dedup_lines(frame(spark, rows)).collect()}
+    assert got == {i: brute_lines(rows, len(rows), 1)[(i, t)] for i, t in rows}
+    assert sum(notice in t for t, _ in got.values()) == 1 and got[200] == ("last", 3)

@@ -1,10 +1,10 @@
 """Line deduplication by pairwise alignment of overlapping documents.
 
-A line (trimmed; blank lines count for nothing) links every document that holds it with the first one that does. Two
-linked documents overlap when they share a rare line (held by at most ``rare`` documents) or several lines (``several``,
-or all that the later one has). Such a pair is aligned by patience diff, and the later document loses its lines in the
-aligned common blocks. So every document is aligned with the first holder of each of its lines, however many hold it:
-the pairs number at most one per line, and no group is paired with itself.
+A line (trimmed; blank lines count for nothing) links every document that holds it with the first one that does. Linked
+documents are aligned by patience diff, and the later one loses its lines in the aligned common blocks. So every document
+is aligned with the first holder of each of its lines, however many hold it: the pairs number at most one per line, and
+no group is paired with itself. A caller who gives ``rare`` aligns only pairs that share a line held by at most so many
+documents or several lines (``several``, or all that the later one has); the query and the pipeline do not.
 
 Defined cases: a null text has no lines; documents are ordered by id (null first), then by a hash of the text; equal
 rows count as one document and get equal rows; a document may end up with an empty text; other columns stay.
@@ -72,17 +72,25 @@ def aligned(a: list, b: list) -> list[int]:
     return found
 
 
-def overlapping(lines: DataFrame, rare: int, several: int) -> DataFrame:
+def _sequences(column: pa.ListArray):
+    """The lists of a column one by one: a first holder's sequence stands in very many rows of a batch."""
+    values, bounds = column.values.to_numpy(), column.offsets.to_numpy()
+    return (values[a:b].tolist() for a, b in zip(bounds, bounds[1:]))
+
+
+def overlapping(lines: DataFrame, rare: int | None, several: int) -> DataFrame:
     """Pairs (doc_id, th) and first (doc_id, th of the earlier document) that overlap. ``lines`` has their ``keys``."""
     own = F.size("keys").alias("own")
     single = lines.select("doc_id", "th", own, F.explode("keys").alias("key"))
     holders = stored(single.groupBy("key").agg(F.count("*").alias("held"), F.min(F.struct("doc_id", "th")).alias("first")).where("held > 1"))
     shared = single.join(holders, "key").where(F.struct("doc_id", "th") > F.col("first"))
     pairs = shared.groupBy("doc_id", "th", "first").agg(F.count("*").alias("shared"), F.min("held").alias("rarest"), F.any_value("own").alias("own"))
-    return pairs.where((F.col("rarest") <= rare) | (F.col("shared") >= F.least(F.lit(several), F.col("own")))).select("doc_id", "th", F.col("first.doc_id").alias("first_id"), F.col("first.th").alias("first_th"))
+    if rare is not None:
+        pairs = pairs.where((F.col("rarest") <= rare) | (F.col("shared") >= F.least(F.lit(several), F.col("own"))))
+    return pairs.select("doc_id", "th", F.col("first.doc_id").alias("first_id"), F.col("first.th").alias("first_th"))
 
 
-def repeated_lines(rows: DataFrame, rare: int = 10, several: int = 3) -> DataFrame:
+def repeated_lines(rows: DataFrame, rare: int | None = None, several: int = 3) -> DataFrame:
     """doc_id, th, partners (documents aligned with) and gone (positions of the lines to delete)."""
     split = F.split("text", "\n")
     digest = lambda line, seed: F.xxhash64(F.lit(seed), F.trim(line))
@@ -93,14 +101,14 @@ def repeated_lines(rows: DataFrame, rare: int = 10, several: int = 3) -> DataFra
 
     def align(batches):
         for batch in batches:
-            found = [aligned(a, b) for a, b in zip(batch.column("seq").to_pylist(), batch.column("first_seq").to_pylist())]
+            found = [aligned(a, b) for a, b in zip(_sequences(batch.column("seq")), _sequences(batch.column("first_seq")))]
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "th": batch.column("th"), "found": pa.array(found, pa.list_(pa.int64()))})
 
     matched = pairs.select("doc_id", "th", "seq", "first_seq").mapInArrow(align, "doc_id long, th long, found array<long>")
     return matched.groupBy("doc_id", "th").agg(F.count("*").alias("partners"), F.array_distinct(F.flatten(F.collect_list("found"))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, rare: int = 10, several: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, rare: int | None = None, several: int = 3) -> DataFrame:
     """``docs`` with the lines left in ``text``, and n_lines, n_deleted, n_partners beside its columns."""
     docs = docs.drop("n_lines", "n_deleted", "n_partners", "gone", "partners", "th_", "id_")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
