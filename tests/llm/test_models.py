@@ -149,3 +149,12 @@ def test_pipeline_on_no_rows(spark):
         docs = stored(stage(spark, docs, SF))
     assert docs.count() == 0
     assert decontamination.contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet")).count() == 0
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_component(spark):
+    """Components stay apart when their least ids are equal: null ids and repeated ids with different texts."""
+    pick = random.Random(5)
+    texts = [prose(pick, 40) for _ in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3]), (1, texts[0]), (2, texts[4]), (3, texts[4]), (4, texts[5]), (None, texts[6]), (9, texts[7])]
+    got = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (2, texts[4]), (4, texts[5]), (None, texts[6]), (9, texts[7])], key=repr)

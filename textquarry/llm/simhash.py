@@ -145,14 +145,14 @@ def links(distinct: DataFrame, distance: int, piece: int = PIECE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """Per row of ``docs``: doc_id, th, fp and component_id, the smallest id reachable over links."""
+    """Per row of ``docs``: doc_id, th, fp, root (names the component) and component_id, the smallest id reachable over links."""
     marked = stored(fingerprints(docs, shingle).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID))))
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     stars = components(links(distinct.select("fp"), distance))
     rooted = distinct.join(stars, distinct["fp"] == stars["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(named, "root").select("fp", "component_id")
-    return marked.join(by_print, "fp").select(*(F.nullif(c, F.lit(NULL_ID)).alias(c) for c in ("doc_id", "component_id")), "th", "fp")
+    by_print = rooted.join(named, "root").select("fp", "root", "component_id")
+    return marked.join(by_print, "fp").select(*(F.nullif(c, F.lit(NULL_ID)).alias(c) for c in ("doc_id", "component_id")), "th", "fp", "root")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
