@@ -6,7 +6,7 @@ import random
 import pytest
 import xxhash
 
-from textquarry.llm import components, exact, lines, simhash
+from textquarry.llm import components, exact, lines, shingles, simhash
 
 from .rows import awkward, empty, frame
 
@@ -155,3 +155,50 @@ def test_common_lines(spark):
     got = {r.doc_id: (r.text, r.n_deleted) for r in lines.dedup_lines(frame(spark, rows)).collect()}
     assert got == {i: brute_lines(rows, len(rows), 1)[(i, t)] for i, t in rows}
     assert sum(notice in t for t, _ in got.values()) == 1 and got[200] == ("last", 3)
+
+
+def five_words(text):
+    w = (text or "").encode().lower().split()
+    return frozenset(b" ".join(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def brute_similar(rows):
+    """Components over pairs whose five-word shingles have a Jaccard similarity of 4/5 or more: each row's partners."""
+    sets = [five_words(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and label[a] != label[b]:
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def edited(pick, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[pick.randrange(len(words))] = f"new{pick.randrange(10 ** 6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("bits", [26, 10])
+def test_similar_shingles(spark, bits):
+    """Exactly the pairs at 4/5 or more are linked, in small groups and in a large one, however full the sketch."""
+    pick = random.Random(6)
+    rows = awkward(4, 60)
+    for g in range(25):
+        base = [f"w{pick.randrange(400)}" for _ in range(pick.randrange(30, 160))]
+        rows += [(1000 + 10 * g + k, edited(pick, base, pick.randrange(1 + len(base) // 25))) for k in range(4)]
+    hot = [f"h{k}" for k in range(120)]
+    rows += [(5000 + k, edited(pick, hot, pick.randrange(6))) for k in range(60)]
+    rows += [(6000, " ".join(hot).upper()), (6001, "a b c"), (6002, "A b  c"), (6003, "a b d")]
+    got = shingles.near_duplicates(frame(spark, rows), bits=bits).collect()
+    want, by_text = brute_similar(rows), {}
+    for (_, t), x in zip(rows, want):
+        by_text[t or ""] = x
+    hashes = {r.th: r.t for r in spark.createDataFrame([(t,) for t in by_text], "t string").selectExpr("t", "xxhash64(t) th").collect()}
+    pairs = {(by_text[hashes[r.th]], r.root) for r in got}
+    assert len(got) == len(rows) and len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+    far = [(a, b) for a in range(len(rows)) for b in range(a) if want[a] == want[b] and (plain_print(rows[a][1]) ^ plain_print(rows[b][1])).bit_count() > 4]
+    assert far
+    assert shingles.near_duplicates(empty(spark)).count() == 0
