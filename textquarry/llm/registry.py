@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textquarry.llm import chat, decontamination, exact, licenses, lines, mixing, quality, simhash, substrings, suffixes
+from textquarry.llm import chat, decontamination, exact, licenses, lines, mixing, quality, simhash, substrings, suffixes, tokens, whitening
 
 QUERIES = {
     "op1_quality_classifier": quality.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_line_dedup": lines.query,
     "op9_chat_formatting": chat.query,
     "op10_source_mixing": mixing.query,
+    "op11_token_counts": tokens.query,
+    "op12_embedding_whitening": whitening.query,
 }
 
 ORACLE = {
