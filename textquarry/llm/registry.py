@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textquarry.llm import chat, decontamination, exact, licenses, lines, mixing, quality, simhash, substrings, suffixes, tokens, whitening
+from textquarry.llm import chat, decontamination, exact, licenses, lines, mixing, periods, quality, simhash, substrings, suffixes, tokens, whitening
 
 QUERIES = {
     "op1_quality_classifier": quality.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_source_mixing": mixing.query,
     "op11_token_counts": tokens.query,
     "op12_embedding_whitening": whitening.query,
+    "op13_periodic_runs": periods.query,
 }
 
 ORACLE = {
