@@ -109,7 +109,7 @@ def test_alignment_is_a_common_subsequence():
         assert sorted(lines.aligned(a, a)) == list(range(len(a)))
 
 
-def brute_lines(rows, rare, several):
+def brute_lines(rows, rare, several, whole=None):
     """First holders, overlap rule and alignment, one document after the other."""
     order = lambda r: ((-1 << 63) if r[0] is None else r[0])
     docs = sorted({(i, t or "") for i, t in rows}, key=order)
@@ -124,10 +124,13 @@ def brute_lines(rows, rare, several):
         for x in keys[k]:
             if held[x][0] < k:
                 shared.setdefault(held[x][0], []).append(len(held[x]))
-        mine, gone = [x.strip(" ") for x in t.split("\n")], set()
+        mine, gone, copy = [x.strip(" ") for x in t.split("\n")], set(), False
         for other, counts in shared.items():
             if min(counts) <= rare or len(counts) >= min(several, len(keys[k])):
-                gone |= set(lines.aligned(mine, [x.strip(" ") for x in docs[other][1].split("\n")]))
+                found = lines.aligned(mine, [x.strip(" ") for x in docs[other][1].split("\n")])
+                gone |= set(found)
+                copy |= whole is not None and sum(len(mine[n]) for n in found) >= whole * sum(map(len, mine))
+        gone = set() if copy else gone
         out[(i, t)] = ("\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone), len(gone))
     return out
 

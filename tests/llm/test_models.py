@@ -12,7 +12,7 @@ from textquarry.llm import decontamination, mixing, quality
 from textquarry.llm.common import stored
 
 from .rows import empty, frame
-from .test_duplicates import brute_components, brute_lines
+from .test_duplicates import brute_lines, brute_similar
 from .test_text_scans import brute_hits
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -127,12 +127,16 @@ def test_stages_against_brute_force(spark):
 
     before = [(r.doc_id, r.text) for r in kept.collect()]
     cut = stored(corpus_pipeline.line_stage(spark, kept, SF))
-    want = brute_lines(before, 10, 3)
+    want = brute_lines(before, 10**9, 1, 0.5)
     assert sorted(((r.doc_id, r.text) for r in cut.collect()), key=repr) == sorted(((i, want[(i, t)][0]) for i, t in before if not want[(i, t)][1] or want[(i, t)][0].strip(" ")), key=repr)
 
     before = [(r.doc_id, r.text) for r in cut.collect()]
     single = stored(corpus_pipeline.near_duplicate_stage(spark, cut, SF))
-    assert sorted(((r.doc_id) for r in single.collect()), key=repr) == sorted({least for _, _, least in brute_components(before, 4)}, key=repr)
+    groups = {}
+    for (i, t), label in zip(before, brute_similar(before)):
+        groups.setdefault(label, []).append((i, t))
+    kept, least = [(r.doc_id, r.text) for r in single.collect()], {k: min((i for i, _ in g), key=lambda i: -1 if i is None else i) for k, g in groups.items()}
+    assert len(kept) == len(groups) and all(sum((least[k], t) in kept for t in {t for i, t in g if i == least[k]}) == 1 for k, g in groups.items())
 
     before = [(r.doc_id, r.text) for r in single.collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -158,3 +162,21 @@ def test_near_duplicate_stage_keeps_one_row_of_each_component(spark):
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3]), (1, texts[0]), (2, texts[4]), (3, texts[4]), (4, texts[5]), (None, texts[6]), (9, texts[7])]
     got = corpus_pipeline.near_duplicate_stage(spark, frame(spark, rows), SF).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (2, texts[4]), (4, texts[5]), (None, texts[6]), (9, texts[7])], key=repr)
+
+
+def test_near_copies_are_not_torn_by_the_line_stage(spark):
+    """Of documents that share most lines one stays, whole; shared passages still leave a document that is its own."""
+    pick = random.Random(12)
+    line = lambda: prose(pick, 12)
+    rows, passage = [], [line(), line()]
+    for k in range(0, 60, 3):
+        base = [line() for _ in range(20)]
+        near = list(base)
+        near[pick.randrange(20)] = line()
+        rows += [(k, "\n".join(base)), (k + 1, "\n".join(near)), (k + 2, "\n".join([line() for _ in range(6)] + passage))]
+    cut = stored(corpus_pipeline.line_stage(spark, frame(spark, rows), SF))
+    assert {r.doc_id: r.text for r in cut.where("doc_id % 3 < 2").collect()} == {i: t for i, t in rows if i % 3 < 2}
+    left = {r.doc_id: r.text for r in corpus_pipeline.near_duplicate_stage(spark, cut, SF).collect()}
+    assert sorted(left) == [i for i, _ in rows if i % 3 != 1]
+    assert all(left[i] == t for i, t in rows if i % 3 == 0)
+    assert all(left[i] == "\n".join(t.split("\n")[:6]) for i, t in rows if i % 3 == 2 and i > 2)

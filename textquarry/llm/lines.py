@@ -4,7 +4,10 @@ A line (trimmed; blank lines count for nothing) links every document that holds
 documents are aligned by patience diff, and the later one loses its lines in the aligned common blocks. So every document
 is aligned with the first holder of each of its lines, however many hold it: the pairs number at most one per line, and
 no group is paired with itself. A caller who gives ``rare`` aligns only pairs that share a line held by at most so many
-documents or several lines (``several``, or all that the later one has); the query and the pipeline do not.
+documents or several lines (``several``, or all that the later one has); the query and the pipeline do not. A caller who
+gives ``whole`` keeps each document whole that has at least this part of its characters (blanks at line ends left out) in
+blocks aligned with one earlier document: such a near copy is not torn into remnants but left to a stage that judges
+documents as wholes. The pipeline gives it, the query does not.
 
 Defined cases: a null text has no lines; documents are ordered by id (null first), then by a hash of the text; equal
 rows count as one document and get equal rows; a document may end up with an empty text; other columns stay.
@@ -90,31 +93,38 @@ def overlapping(lines: DataFrame, rare: int | None, several: int) -> DataFrame:
     return pairs.select("doc_id", "th", F.col("first.doc_id").alias("first_id"), F.col("first.th").alias("first_th"))
 
 
-def repeated_lines(rows: DataFrame, rare: int | None = None, several: int = 3) -> DataFrame:
+def repeated_lines(rows: DataFrame, rare: int | None = None, several: int = 3, whole: float | None = None) -> DataFrame:
     """doc_id, th, partners (documents aligned with) and gone (positions of the lines to delete)."""
     split = F.split("text", "\n")
     digest = lambda line, seed: F.xxhash64(F.lit(seed), F.trim(line))
     keys = F.array_compact(F.array_distinct(F.transform(split, lambda line: F.when(F.trim(line) != "", digest(line, 1)))))
-    lines = stored(rows.select("doc_id", "th", keys.alias("keys"), F.transform(split, lambda line: digest(line, 2)).alias("seq")).dropDuplicates(["doc_id", "th"]))
+    sizes = [] if whole is None else [F.transform(split, lambda line: F.length(F.trim(line))).alias("sizes")]
+    lines = stored(rows.select("doc_id", "th", keys.alias("keys"), F.transform(split, lambda line: digest(line, 2)).alias("seq"), *sizes).dropDuplicates(["doc_id", "th"]))
     first = lines.select(F.col("doc_id").alias("first_id"), F.col("th").alias("first_th"), F.col("seq").alias("first_seq"))
-    pairs = overlapping(lines, rare, several).join(lines.select("doc_id", "th", "seq"), ["doc_id", "th"]).join(first, ["first_id", "first_th"])
+    own = [c for c in ("seq", "sizes") if c in lines.columns]
+    pairs = overlapping(lines, rare, several).join(lines.select("doc_id", "th", *own), ["doc_id", "th"]).join(first, ["first_id", "first_th"])
 
     def align(batches):
         for batch in batches:
             found = [aligned(a, b) for a, b in zip(_sequences(batch.column("seq")), _sequences(batch.column("first_seq")))]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "th": batch.column("th"), "found": pa.array(found, pa.list_(pa.int64()))})
+            copy = np.zeros(len(found), bool)
+            if whole is not None:
+                copy[:] = [sum(s[i] for i in at) >= whole * sum(s) for at, s in zip(found, _sequences(batch.column("sizes")))]
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "th": batch.column("th"), "found": pa.array(found, pa.list_(pa.int64())), "copy": pa.array(copy)})
 
-    matched = pairs.select("doc_id", "th", "seq", "first_seq").mapInArrow(align, "doc_id long, th long, found array<long>")
-    return matched.groupBy("doc_id", "th").agg(F.count("*").alias("partners"), F.array_distinct(F.flatten(F.collect_list("found"))).alias("gone"))
+    matched = pairs.select("doc_id", "th", *own, "first_seq").mapInArrow(align, "doc_id long, th long, found array<long>, copy boolean")
+    gone = F.array_distinct(F.flatten(F.collect_list("found")))
+    per_row = matched.groupBy("doc_id", "th").agg(F.count("*").alias("partners"), gone.alias("gone"), F.bool_or("copy").alias("copy"))
+    return per_row.select("doc_id", "th", "partners", F.when(~F.col("copy"), F.col("gone")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, rare: int | None = None, several: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, rare: int | None = None, several: int = 3, whole: float | None = None) -> DataFrame:
     """``docs`` with the lines left in ``text``, and n_lines, n_deleted, n_partners beside its columns."""
     docs = docs.drop("n_lines", "n_deleted", "n_partners", "gone", "partners", "th_", "id_")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     id_ = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
     rows = doc_rows(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
-    gone = repeated_lines(rows, rare, several).withColumnsRenamed({"doc_id": "id_", "th": "th_"})
+    gone = repeated_lines(rows, rare, several, whole).withColumnsRenamed({"doc_id": "id_", "th": "th_"})
     marked = docs.withColumns({"id_": id_, "th_": F.xxhash64(text)}).join(gone, ["id_", "th_"], "left").drop("id_", "th_")
     schema = marked.drop("gone", "partners").schema
     out = T.StructType(schema.fields + [T.StructField(c, T.LongType()) for c in ("n_lines", "n_deleted", "n_partners")])
