@@ -11,8 +11,11 @@ from textquarry.operators.explain import explain_scores
 from textquarry.operators.search import ByField, Relevance, count, matches, search
 from textquarry.operators.similar import more_like_this, search_many
 from textquarry.operators.snippets import Snippet, add_snippets
+from textquarry.operators.topk import top_hits
 from textquarry.plans.terms import bind, term_rows
 from textquarry.sources.corpus import spread
+from textquarry.sources.impacts import BlockIndex
+from textquarry.sources.patterns import PatternIndex, fuzzy_table
 from textquarry.sources.postings import TermIndex
 from textquarry.sources.scratch import scratch_path
 
@@ -319,6 +322,54 @@ register(
     ORACLE["bool_must_should_not"],
 )
 register("indexed_phrase_slop", _indexed(q.Phrase("text", ["of", "the"], slop=2)), ORACLE["phrase_slop"])
+
+
+def _indexed_top(text, **page):
+    def run(spark, sf):
+        corpus = docs(spark, sf)
+        index = TermIndex.build(corpus, scratch_path(spark, "index"))
+        blocks = BlockIndex.build(index, scratch_path(spark, "blocks"), block_rows=16)
+        return top_hits(corpus.with_index(index), blocks, text, **page).hits.select("rank", "doc_id", F.round("score", 6).alias("score"))
+
+    return run
+
+
+register("indexed_topk", _indexed_top("estion ndat"), ORACLE["bm25_topk"])
+register("indexed_topk_page", _indexed_top("the of", limit=20, offset=30), ORACLE["bm25_page"])
+
+
+def _indexed_pattern(query):
+    """Rows by id of a test on terms, its dictionary entries found by their grams or deletions."""
+    def run(spark, sf):
+        corpus = docs(spark, sf)
+        index = TermIndex.build(corpus, scratch_path(spark, "index"))
+        index = index.with_patterns(PatternIndex.build(index.terms, scratch_path(spark, "patterns")))
+        return matches(corpus.with_index(index), query, columns=["doc_id"])
+
+    return run
+
+
+register("indexed_contains", _indexed_pattern(q.Contains("text", "stio")), ORACLE["token_contains"])
+register("indexed_regex", _indexed_pattern(q.Regex("text", "e[rs]t?ion[a-d]*")), ORACLE["token_regex"])
+register("indexed_suffix", _indexed_pattern(q.EndsWith("text", "ndat")), _token_sql("suffix(term, 'ndat')"))
+register("indexed_fuzzy", _indexed_pattern(q.Fuzzy("text", "thousand", 2)), ORACLE["fuzzy_two"])
+
+
+def _fuzzy_table(spark, sf):
+    """Dictionary terms near the first word of each benchmark item."""
+    corpus = docs(spark, sf)
+    index = TermIndex.build(corpus, scratch_path(spark, "index"))
+    words = table(spark, sf, "benchmark").select(F.lower(F.regexp_extract("text", "[A-Za-z]+", 0)).alias("word")).where("word <> ''")
+    patterns = PatternIndex.build(index.terms.where("term RLIKE '^[a-z]+$'"), scratch_path(spark, "patterns"))
+    return fuzzy_table(patterns, words, 2)
+
+
+register(
+    "fuzzy_table", _fuzzy_table,
+    f"WITH {TOK}, dictionary AS (SELECT term, count(DISTINCT doc_id) AS df FROM tok WHERE regexp_full_match(term, '[a-z]+') GROUP BY term), "
+    "asked AS (SELECT DISTINCT lower(regexp_extract(text, '[A-Za-z]+')) AS word FROM benchmark) "
+    "SELECT word, term, levenshtein(word, term)::INT AS distance, df FROM asked JOIN dictionary ON levenshtein(word, term) <= 2 WHERE word <> ''",
+)
 register(
     "term_dictionary",
     lambda spark, sf: term_rows(docs(spark, sf), ["text"]).groupBy("field", "term").agg(

@@ -17,6 +17,7 @@ from textquarry.plans.features import Features, PhraseSpec
 from textquarry.plans.scoring import bm25_sql
 from textquarry.sources import fields as K
 from textquarry.sources.corpus import Corpus
+from textquarry.sources.patterns import DISTANCE, END, START, Needed, needed_by_distance, needed_by_literals, required_stretches
 
 
 @dataclass(frozen=True)
@@ -86,10 +87,10 @@ class Compiler:
             raise RequestError(f"{what} needs a text or string field, {name!r} is {spec.kind}")
         return spec
 
-    def _term_test(self, spec: K.FieldSpec, predicate) -> Part:
-        """Rows having a term that passes a test; constant score."""
+    def _term_test(self, spec: K.FieldSpec, predicate, needed: Needed | None = None) -> Part:
+        """Rows having a term that passes a test; constant score. ``needed`` is what such a term must have."""
         if spec.kind == K.TEXT:
-            return Part(self.features.test(spec.name, predicate), F.lit(1.0), needs_text=True)
+            return Part(self.features.test(spec.name, predicate, needed), F.lit(1.0), needs_text=True)
         return Part(spec.any_value(predicate), F.lit(1.0))
 
     def _scored(self, part: Part, tf: str, df: str | None, idf: str, length: str, avg: str, **names) -> Part:
@@ -187,22 +188,22 @@ class Compiler:
 
     @_node.register
     def _(self, q: Q.StartsWith, path: str) -> Part:
-        return self._term_test(self._string_field(q.field, "prefix"), lambda v: v.startswith(q.value))
+        return self._term_test(self._string_field(q.field, "prefix"), lambda v: v.startswith(q.value), needed_by_literals([START + q.value]))
 
     @_node.register
     def _(self, q: Q.EndsWith, path: str) -> Part:
-        return self._term_test(self._string_field(q.field, "suffix"), lambda v: v.endswith(q.value))
+        return self._term_test(self._string_field(q.field, "suffix"), lambda v: v.endswith(q.value), needed_by_literals([q.value + END]))
 
     @_node.register
     def _(self, q: Q.Contains, path: str) -> Part:
-        return self._term_test(self._string_field(q.field, "substring"), lambda v: v.contains(q.value))
+        return self._term_test(self._string_field(q.field, "substring"), lambda v: v.contains(q.value), needed_by_literals([q.value]))
 
     @_node.register
     def _(self, q: Q.Regex, path: str) -> Part:
         if _has_anchor(q.pattern):
             raise RequestError("patterns match whole terms: ^ and $ are not allowed")
         whole = rf"\A(?:{q.pattern})\z"
-        return self._term_test(self._string_field(q.field, "regex"), lambda v: v.rlike(whole))
+        return self._term_test(self._string_field(q.field, "regex"), lambda v: v.rlike(whole), needed_by_literals(required_stretches(q.pattern)))
 
     @_node.register
     def _(self, q: Q.Fuzzy, path: str) -> Part:
@@ -210,7 +211,8 @@ class Compiler:
         if q.transpositions and q.distance > 2:
             raise RequestError("transpositions as one edit are built for distances up to 2")
         test = within_edits(q.value, q.distance, q.transpositions, q.prefix)
-        return self._term_test(spec, test)
+        plain = not q.transpositions and not q.prefix and q.distance <= DISTANCE
+        return self._term_test(spec, test, needed_by_distance(q.value, q.distance) if plain else None)
 
     @_node.register
     def _(self, q: Q.Exists, path: str) -> Part:

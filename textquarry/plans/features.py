@@ -19,6 +19,7 @@ from textquarry.functions.analysis import field_slots
 from textquarry.plans.scoring import idf_sql
 from textquarry.plans.terms import bind, token_count
 from textquarry.sources.corpus import Corpus, spread
+from textquarry.sources.patterns import Needed
 
 STATS = "__stats"
 MANY_TERMS = 4
@@ -50,6 +51,7 @@ class Features:
         self.tests: dict[str, tuple[str, Callable[[Column], Column]]] = {}
         self.phrases: dict[PhraseSpec, str] = {}
         self.lengths: dict[str, str] = {}
+        self.needed: dict[str, Needed] = {}  # what a dictionary entry passing the test must have
         self.lookups: dict[str, DataFrame] = {}
         self.sets: dict[str, tuple[str, DataFrame]] = {}
         self.term_stats: dict[tuple[str, str], str] = {}
@@ -61,9 +63,11 @@ class Features:
     def tf(self, field: str, term: str) -> str:
         return self.terms.setdefault((field, term), f"__t{len(self.terms)}")
 
-    def test(self, field: str, predicate: Callable[[Column], Column]) -> Column:
+    def test(self, field: str, predicate: Callable[[Column], Column], needed: Needed | None = None) -> Column:
         name = f"__m{len(self.tests)}"
         self.tests[name] = (field, predicate)
+        if needed is not None:
+            self.needed[name] = needed
         return F.col(name)
 
     def phrase(self, spec: PhraseSpec) -> str:

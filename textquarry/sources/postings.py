@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from textquarry.plans.features import Features, phrase_count_from_positions
 from textquarry.plans.terms import term_rows
 from textquarry.sources.corpus import Corpus
+from textquarry.sources.patterns import Needed, PatternIndex
 
 #: A pattern that fits at most this many dictionary terms is sent to the scan as
 #: a list of terms; one that fits more is evaluated on the postings themselves.
@@ -31,8 +32,12 @@ def _write_postings(rows: DataFrame, path: str, mode: str) -> None:
 
 
 class TermIndex:
-    def __init__(self, postings: DataFrame, terms: DataFrame, lengths: DataFrame):
-        self.postings, self.terms, self.lengths = postings, terms, lengths
+    def __init__(self, postings: DataFrame, terms: DataFrame, lengths: DataFrame, patterns: PatternIndex | None = None):
+        self.postings, self.terms, self.lengths, self.patterns = postings, terms, lengths, patterns
+
+    def with_patterns(self, patterns: PatternIndex) -> TermIndex:
+        """The same index looking patterns and misspellings up in ``patterns``, built from its dictionary."""
+        return TermIndex(self.postings, self.terms, self.lengths, patterns)
 
     @classmethod
     def build(cls, corpus: Corpus, path: str, fields: list[str] | None = None, mode: str = "errorifexists") -> TermIndex:
@@ -82,9 +87,15 @@ class TermIndex:
 
     # -- answering a query -----------------------------------------------------
 
-    def _resolve(self, field: str, predicate) -> Column:
+    def fitting(self, field: str, predicate, needed: Needed | None = None) -> DataFrame:
+        """``term`` of the dictionary entries that pass a test; only those that can, where a pattern index tells them."""
+        if self.patterns is not None and self.patterns.answers(needed):
+            return self.patterns.candidates(field, needed).where(predicate(F.col("term")))
+        return self.terms.where((F.col("field") == field) & predicate(F.col("term"))).select("term")
+
+    def _resolve(self, field: str, predicate, needed: Needed | None = None) -> Column:
         """A test on terms as a scan condition (see ``INLINE_TERMS``)."""
-        hits = self.terms.where((F.col("field") == field) & predicate(F.col("term")))
+        hits = self.fitting(field, predicate, needed)
         found = [r.term for r in hits.select("term").limit(INLINE_TERMS + 1).collect()]
         test = F.col("term").isin(found) if len(found) <= INLINE_TERMS else predicate(F.col("term"))
         return (F.col("field") == field) & test
@@ -94,7 +105,7 @@ class TermIndex:
         def is_term(f, t):
             return (F.col("field") == f) & (F.col("term") == t)
 
-        tests = {n: self._resolve(f, p) for n, (f, p) in features.tests.items()}
+        tests = {n: self._resolve(f, p, features.needed.get(n)) for n, (f, p) in features.tests.items()}
         slots: dict[str, Column] = {}   # one position column per phrase slot
         conditions = [is_term(f, t) for f, t in features.terms] + list(tests.values())
         aggs = []
