@@ -12,8 +12,9 @@ from textquarry.catalog.shared import TOK, bm25_sql, docs, of_table, scored_sql,
 from textquarry.functions.values import facet_ancestors, json_value
 from textquarry.operators.aggregate import (
     Avg, Bucket, Cardinality, Concat, Count, DateHistogram, Histogram, Max, Min, Percentiles, Ranges, Stats, Sum,
-    Terms, aggregate,
+    Terms, aggregate, aggregate_together,
 )
+from textquarry.operators.deep import GlobalOrder
 from textquarry.operators.distinct import distinct_page, distinct_values
 from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.search import ByField, IndexOrder, count, matches, search
@@ -137,6 +138,13 @@ register(
     "SELECT rank, l_shipdate, l_extendedprice, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (ORDER BY l_shipdate, "
     "l_extendedprice DESC, l_orderkey, l_linenumber) AS rank FROM lineitem WHERE l_quantity >= 10) WHERE rank > 100 AND rank <= 150",
 )
+register(
+    "page_deep",
+    lambda spark, sf: GlobalOrder.of(lineitem(spark, sf), q.Range("l_quantity", gte=10.0), _SORT)
+    .page(10_000, 30_000, ["l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber"]),
+    "SELECT rank, l_shipdate, l_extendedprice, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (ORDER BY l_shipdate, "
+    "l_extendedprice DESC, l_orderkey, l_linenumber) AS rank FROM lineitem WHERE l_quantity >= 10) WHERE rank > 30000 AND rank <= 40000",
+)
 register(
     "sort_missing_values",
     lambda spark, sf: search(_with_gaps(spark, sf), sort=[ByField("size_or_null"), ByField("p_partkey", True)], limit=200,
@@ -331,6 +339,32 @@ register(
     "SELECT priority, month, status, doc_count, total FROM (SELECT *, row_number() OVER (PARTITION BY priority, month "
     "ORDER BY doc_count DESC, status) AS pos FROM c) WHERE pos <= 2",
 )
+
+
+def _several(spark, sf):
+    """Three aggregations and a level below one of them, from one pass, as one table of keys and counts."""
+    levels = aggregate_together(orders(spark, sf), [
+        Terms("priority", "o_orderpriority", 3, sub=[Terms("status", "o_orderstatus", 2, sub=[Sum("total", "o_totalprice")])]),
+        Histogram("price", "o_totalprice", 50_000.0, min_doc_count=1, sub=[Sum("total", "o_totalprice")]),
+        Ranges("size", "o_totalprice", [Bucket(None, 20_000.0, "small"), Bucket(20_000.0, None, "large")], sub=[Sum("total", "o_totalprice")]),
+    ])
+    out = None
+    for path, level in levels.items():
+        keys = [F.col(f"`{k}`").cast("string") for k in path.split(".")]
+        total = F.round("total", 2) if "total" in level.columns else F.lit(None).cast("double")
+        part = level.select(F.lit(path).alias("level"), F.concat_ws("/", *keys).alias("bucket"), "doc_count", total.alias("total"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register(
+    "several_buckets", _several,
+    f"WITH {_TOP3}, st AS (SELECT o_orderpriority AS p, o_orderstatus AS s, count(*) AS c, round(sum(o_totalprice), 2) AS t FROM orders JOIN top3 USING (o_orderpriority) GROUP BY 1, 2) "
+    "SELECT 'priority' AS level, o_orderpriority AS bucket, count(*) AS doc_count, NULL::DOUBLE AS total FROM orders JOIN top3 USING (o_orderpriority) GROUP BY 2 "
+    "UNION ALL SELECT 'priority.status', p || '/' || s, c, t FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY c DESC, s) AS pos FROM st) WHERE pos <= 2 "
+    "UNION ALL SELECT 'price', (floor(o_totalprice / 50000) * 50000.0::DOUBLE)::VARCHAR, count(*), round(sum(o_totalprice), 2) FROM orders GROUP BY 2 "
+    "UNION ALL SELECT 'size', CASE WHEN o_totalprice < 20000 THEN 'small' ELSE 'large' END, count(*), round(sum(o_totalprice), 2) FROM orders GROUP BY 2",
+)
 register(
     "range_buckets",
     lambda spark, sf: aggregate(lineitem(spark, sf), [Ranges("price", "l_extendedprice", [

@@ -21,6 +21,7 @@ from textquarry.plans.frames import matching, share
 from textquarry.plans.query import Query
 from textquarry.sources import fields as K
 from textquarry.sources.corpus import Corpus
+from textquarry.sources.scratch import scratch_path
 
 DEFAULT_PERCENTS = (1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0)  # fixed values
 COUNT = "doc_count"
@@ -397,13 +398,25 @@ class _Plan:
         else:
             rows = rows.withColumn("__v", spec.column).where(F.col("__v").isNotNull())
         value = F.col("__v")
+        if not isinstance(a, Ranges) or _apart(a):  # at most one bucket a value
+            return rows.withColumn(name, self.key_of(a, value)).where(F.col(name).isNotNull()).drop("__v")
+        return rows.select("*", F.explode(F.array_compact(F.array(*self._hits(a, value)))).alias(name)).drop("__v")
+
+    def key_of(self, a: Agg, value: Column) -> Column:
+        """The bucket of one value, NULL outside all buckets (``Ranges`` must not overlap)."""
+        if isinstance(a, Terms):
+            return value
         if isinstance(a, Histogram):
             place = value.cast("double") / a.interval
-            return rows.withColumn(name, F.floor(place)).where(F.abs(place) < 2.0 ** 63).drop("__v")
+            return F.when(F.abs(place) < 2.0 ** 63, F.floor(place))
         if isinstance(a, DateHistogram):
             step, shift = parse_duration(a.fixed_interval), parse_duration(a.offset)
-            millis = epoch_millis(value, spec.element_type) - shift
-            return rows.withColumn(name, F.floor(millis / F.lit(step))).drop("__v")
+            return F.floor((epoch_millis(value, self.corpus.spec(a.field).element_type) - shift) / F.lit(step))
+        return F.coalesce(*self._hits(a, value))
+
+    @staticmethod
+    def _hits(a: Ranges, value: Column) -> list[Column]:
+        """Per range its number where the value lies in it."""
         number = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
 
         def fits(i: int, b) -> Column:
@@ -412,11 +425,7 @@ class _Plan:
             tests += [number < F.lit(float(b.high))] if b.high is not None else []
             return F.when(reduce(lambda x, y: x & y, tests), F.lit(i))
 
-        hits = [fits(i, b) for i, b in enumerate(a.buckets)]
-        ends = sorted((b.low if b.low is not None else -math.inf, b.high if b.high is not None else math.inf) for b in a.buckets)
-        if all(high <= low for (_, high), (low, _) in zip(ends, ends[1:])):  # at most one bucket a row
-            return rows.withColumn(name, F.coalesce(*hits)).where(F.col(name).isNotNull()).drop("__v")
-        return rows.select("*", F.explode(F.array_compact(F.array(*hits))).alias(name)).drop("__v")
+        return [fits(i, b) for i, b in enumerate(a.buckets)]
 
     @staticmethod
     def bucket_list(a: Ranges) -> Column:
@@ -526,6 +535,75 @@ class _Plan:
         return listed.select(*parents, F.col("b.pos").alias(key), F.col("b.from"), F.col("b.to"))
 
 
+def _apart(a: Ranges) -> bool:
+    """Whether no value lies in two ranges."""
+    ends = sorted((b.low if b.low is not None else -math.inf, b.high if b.high is not None else math.inf) for b in a.buckets)
+    return all(high <= low for (_, high), (low, _) in zip(ends, ends[1:]))
+
+
+def aggregate_together(corpus: Corpus, aggs: Sequence[Agg], query: Query | None = None, empty_as_null: bool = False) -> dict[str, DataFrame]:
+    """The buckets of several bucket aggregations and all their levels from one pass over the matching rows.
+
+    Results are those of ``aggregate(...).buckets``. Every level is a grouping set of one aggregation, so rows are read and
+    shuffled once, reduced before the shuffle. That job runs at once and leaves the groups in the scratch folder; sizes, ranks
+    and gaps are worked out on them, however many levels are then looked at. A field with several
+    values, analysed text, overlapping ranges and exact percentiles put a row into several groups of a level or need a pass of
+    their own: such requests go to ``aggregate``.
+    """
+    plan = _Plan(corpus, empty_as_null)
+    nodes: list[tuple[str, Agg, list[int]]] = []  # path, aggregation, its ancestors' numbers
+
+    def add(a: Agg, path: str, above: list[int]) -> None:
+        spec = corpus.spec(a.field)
+        if spec.multi or spec.kind == K.TEXT or (isinstance(a, Ranges) and not _apart(a)):
+            raise RequestError(f"{a.name!r} can put a row into several buckets; use aggregate")
+        if any(isinstance(s, Percentiles) and s.exact for s in a.sub):
+            raise RequestError("exact percentiles need passes of their own; use aggregate")
+        nodes.append((path, a, above))
+        own = [*above, len(nodes) - 1]
+        for s in a.sub:
+            if isinstance(s, BUCKETS):
+                add(s, f"{path}.{s.name}", own)
+
+    if len({a.name for a in aggs}) != len(aggs):
+        raise RequestError("aggregation names must be unique")
+    for a in aggs:
+        if not isinstance(a, BUCKETS):
+            raise RequestError(f"not a bucket aggregation: {a!r}")
+        plan.check(a)
+        add(a, a.name, [])
+    if not nodes:
+        return {}
+    keys = [f"__n{i}" for i in range(len(nodes))]
+    rows = matching(corpus, query, columns=list(dict.fromkeys(f for a in aggs for f in _fields(a))))
+    rows = rows.withColumns({k: plan.key_of(a, corpus.spec(a.field).column) for k, (_, a, _) in zip(keys, nodes)})
+    sets = [[F.col(keys[i]) for i in [*above, n]] for n, (_, _, above) in enumerate(nodes)]
+    metrics = {f"__m{n}_{s.name}": s for n, (_, a, _) in enumerate(nodes) for s in a.sub if isinstance(s, METRICS)}
+    grouped = rows.groupingSets(sets, *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias(COUNT), *[plan.metric(s).alias(m) for m, s in metrics.items()])
+    path = scratch_path(corpus.spark, "groups")
+    grouped.write.parquet(path)
+    grouped = corpus.spark.read.schema(grouped.schema).parquet(path)
+    out, alive = {}, {}
+    for n, (path, a, above) in enumerate(nodes):
+        chain = [*above, n]
+        number = sum(1 << (len(nodes) - 1 - i) for i in range(len(nodes)) if i not in chain)
+        own = [s for s in a.sub if isinstance(s, METRICS)]
+        counts = grouped.where((F.col("__set") == number) & reduce(lambda x, y: x & y, [F.col(keys[i]).isNotNull() for i in chain]))
+        counts = counts.select(*[F.col(keys[i]).alias(f"__k{j}") for j, i in enumerate(chain)], COUNT, *[F.col(f"__m{n}_{s.name}").alias(s.name) for s in own])
+        outer, own_key = [f"__k{j}" for j in range(len(above))], f"__k{len(above)}"
+        if above and above[-1] in alive:
+            counts = counts.join(alive[above[-1]], outer, "left_semi")
+        if isinstance(a, Terms):
+            counts = plan._largest(counts, a, outer, own_key)
+        if isinstance(a, Terms) or (above and above[-1] in alive):
+            alive[n] = counts.select(*outer, own_key)
+        shown = counts.select(*[plan._key_value(nodes[i][1], f"__k{j}").alias(f"__k{j}") for j, i in enumerate(above)], own_key, COUNT, *[s.name for s in own])
+        shown = plan._shown(shown, a, outer, own_key, own)
+        out[path] = shown.withColumnsRenamed({f"__k{j}": nodes[i][1].name for j, i in enumerate(chain)})
+    return out
+
+
 def _texts(spec: K.FieldSpec) -> Column:
     """Values as concat prints them."""
     def shown(v: Column) -> Column:
