@@ -38,7 +38,7 @@ def test_no_task_holds_the_page_or_what_is_before_it(spark, corpus):
         order = GlobalOrder.of(corpus, None, (ByField("price"),))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    files = [end - start for _, start, end in order._files]
+    files = [end - start for _, start, end in order.files]
     assert sum(files) == 4000 and max(files) < 2000
     page = order.page(3000, 500)
     plan = page._jdf.queryExecution().executedPlan().toString()

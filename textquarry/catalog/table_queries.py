@@ -18,6 +18,7 @@ from textquarry.operators.deep import GlobalOrder
 from textquarry.operators.distinct import distinct_page, distinct_values
 from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.search import ByField, IndexOrder, count, matches, search
+from textquarry.operators.sketches import SketchTable
 from textquarry.sources import maintain
 from textquarry.sources.scratch import scratch_path
 from textquarry.streaming import ingest
@@ -250,6 +251,29 @@ register(
     ).metrics.select((F.abs(F.col("about") - F.col("exactly")) <= 0.1 * F.col("exactly")).alias("close")),
     "SELECT count(DISTINCT l_partkey) > 0 AS close FROM lineitem",
 )
+
+
+def _sketched(spark, sf):
+    """Per order status in some months: stored sketches merged, beside whether they keep their stated error (three times it)."""
+    corpus = orders(spark, sf)
+    by = {"month": F.date_trunc("month", "o_orderdate"), "status": F.col("o_orderstatus")}
+    stored = SketchTable.write(corpus, scratch_path(spark, "sketches"), by, ["o_custkey"], ["o_totalprice"])
+    some = (F.col("month") >= dt.datetime(1995, 1, 1)) & (F.col("month") < dt.datetime(1997, 1, 1))
+    merged = stored.estimate(some, ["status"])
+    exact = corpus.df.where((F.col("o_orderdate") >= dt.datetime(1995, 1, 1)) & (F.col("o_orderdate") < dt.datetime(1997, 1, 1))).join(
+        merged.select(F.col("status").alias("o_orderstatus"), F.col("quantiles_o_totalprice")["50.0"].alias("median")), "o_orderstatus")
+    exact = exact.groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count_distinct("o_custkey").alias("customers"), F.avg((F.col("o_totalprice") < F.col("median")).cast("int")).alias("below"))
+    return merged.join(exact, "status").select(
+        "status", "doc_count", "customers", (F.abs(F.col("distinct_o_custkey") - F.col("customers")) <= 0.05 * F.col("customers") + 1).alias("distinct_close"),
+        (F.abs(F.col("below") - 0.5) <= 0.03).alias("median_close"))
+
+
+register(
+    "sketched_by_month", _sketched,
+    "SELECT o_orderstatus AS status, count(*) AS doc_count, count(DISTINCT o_custkey) AS customers, true AS distinct_close, true AS median_close "
+    "FROM orders WHERE o_orderdate >= '1995-01-01' AND o_orderdate < '1997-01-01' GROUP BY 1",
+)
 _PERCENTS = [1.0, 50.0, 95.0]
 register(
     "percentiles_exact",

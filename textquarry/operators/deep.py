@@ -23,10 +23,11 @@ from textquarry.sources.scratch import scratch_path
 
 
 class GlobalOrder:
-    """All matching rows of a request with their ranks; ``page`` reads any stretch of them."""
+    """All matching rows of a request in order; ``page`` reads any stretch of ranks. ``total`` is their number."""
 
-    def __init__(self, corpus: Corpus, ranked: DataFrame, scored: bool, total: int):
-        self.corpus, self.ranked, self.scored, self.total = corpus, ranked, scored, total
+    def __init__(self, corpus: Corpus, written: DataFrame, files: list[tuple[str, int, int]], scored: bool):
+        self.corpus, self.written, self.files, self.scored = corpus, written, files, scored
+        self.total = files[-1][2] if files else 0
 
     @classmethod
     def of(cls, corpus: Corpus, query: Query | None = None, sort: Sequence = (Relevance(),), min_score: float | None = None) -> GlobalOrder:
@@ -38,28 +39,22 @@ class GlobalOrder:
             rows = rows.where(F.col(SCORE) >= min_score)
         path, spark = scratch_path(corpus.spark, "order"), corpus.spark
         rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
-        written = spark.read.schema(rows.schema).parquet(path).select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
-        counted = sorted(written.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["__file"].rsplit("/", 1)[1])
-        starts = [0, *accumulate(r.n for r in counted)]
-        files = spark.createDataFrame([(r["__file"], s) for r, s in zip(counted, starts)], "__file string, __start long")
-        ranked = written.join(F.broadcast(files), "__file").withColumn("rank", F.col("__start") + F.col("__at") + 1)
-        out = cls(corpus, ranked.drop("__file", "__start", "__at"), scored, starts[-1])
-        out._written, out._files = written, [(r["__file"], s, s + r.n) for r, s in zip(counted, starts)]
-        return out
+        places = F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at")
+        written = spark.read.schema(rows.schema).parquet(path).select("*", *places)
+        counted = written.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()
+        counted.sort(key=lambda r: r["__file"].rsplit("/", 1)[1])  # files are named in the order of the ranges
+        ends = list(accumulate(r.n for r in counted))
+        return cls(corpus, written, [(r["__file"], end - r.n, end) for r, end in zip(counted, ends)], scored)
 
     def page(self, limit: int, offset: int = 0, return_fields: Sequence[str] = ()) -> DataFrame:
         """``rank``, ``id`` and ``score`` where the order has them, and the columns asked for, of one stretch of ranks."""
         if limit < 0 or offset < 0:
             raise RequestError("limit and offset must not be negative")
-        touched = [(f, s) for f, s, end in self._files if s < offset + limit and end > offset]
-        if not touched:
-            rows = self.ranked.where(F.lit(False))
-        else:
-            spark = self.corpus.spark
-            starts = spark.createDataFrame(touched, "__file string, __start long")
-            rows = self._written.where(F.col("_metadata.file_path").isin([f for f, _ in touched])) if len(touched) < len(self._files) else self._written
-            rows = rows.join(F.broadcast(starts), "__file").withColumn("rank", F.col("__start") + F.col("__at") + 1)
-            rows = rows.where(F.col("rank").between(offset + 1, offset + limit)).drop("__file", "__start", "__at")
+        touched = [(file, start) for file, start, end in self.files if start < offset + limit and end > offset]
+        starts = self.corpus.spark.createDataFrame(touched, "__file string, __start long")
+        rows = self.written.where(F.col("__file").isin([file for file, _ in touched])).join(F.broadcast(starts), "__file")
+        rows = rows.withColumn("rank", F.col("__start") + F.col("__at") + 1).drop("__file", "__start", "__at")
+        rows = rows.where(F.col("rank").between(offset + 1, offset + limit))
         missing = [c for c in return_fields if c not in rows.columns]
         if missing:
             wanted = self.corpus.df.select(f"`{self.corpus.key()}`", *[f"`{c}`" for c in missing])
