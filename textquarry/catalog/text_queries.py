@@ -219,8 +219,8 @@ def _like_one(spark, sf):
     return hits.select(F.lit(69).cast("long").alias("query_id"), F.col("rank"), F.round("score", 6).alias("score"))
 
 
-def _like_all(spark, sf):
-    hits = more_like_this(docs(spark, sf), k=5, like=q.MoreLikeThis(None, **_LIKE))
+def _like_all(spark, sf, corpus=docs):
+    hits = more_like_this(corpus(spark, sf), k=5, like=q.MoreLikeThis(None, **_LIKE))
     return hits.select("query_id", "rank", F.round("score", 6).alias("score"))
 
 
@@ -232,8 +232,8 @@ qword AS (SELECT item_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS w
 qtf AS (SELECT item_id, lower(w) AS term, count(*) AS qtf FROM qword WHERE octet_length(encode(w)) < 40 GROUP BY ALL),"""
 
 
-def _many(spark, sf):
-    hits = search_many(docs(spark, sf), table(spark, sf, "benchmark"), k=10, query_id="item_id")
+def _many(spark, sf, corpus=docs):
+    hits = search_many(corpus(spark, sf), table(spark, sf, "benchmark"), k=10, query_id="item_id")
     return hits.select(F.col("query_id").alias("item_id"), "rank", F.round("score", 6).alias("score"))
 
 
@@ -334,6 +334,13 @@ def _indexed_top(text, **page):
     return run
 
 
+def _with_index(spark, sf):
+    corpus = docs(spark, sf)
+    return corpus.with_index(TermIndex.build(corpus, scratch_path(spark, "index")))
+
+
+register("indexed_search_many", lambda spark, sf: _many(spark, sf, _with_index), ORACLE["search_many"])
+register("indexed_like_batch", lambda spark, sf: _like_all(spark, sf, _with_index), ORACLE["more_like_this_batch"])
 register("indexed_topk", _indexed_top("estion ndat"), ORACLE["bm25_topk"])
 register("indexed_topk_page", _indexed_top("the of", limit=20, offset=30), ORACLE["bm25_page"])
 

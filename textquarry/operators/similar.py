@@ -11,15 +11,20 @@ from textquarry.functions.analysis import token_slots
 from textquarry.plans.frames import share
 from textquarry.plans.features import STATS, Features, scan_base
 from textquarry.plans.query import MoreLikeThis
-from textquarry.plans.scoring import bm25, idf
+from textquarry.plans.scoring import B, K1, bm25, idf
 from textquarry.plans.terms import distinct_terms, term_rows
 from textquarry.sources.corpus import Corpus
 from textquarry.sources.fields import TEXT, literal
+from textquarry.sources.scratch import written
 
 #: A table of request terms with at most this many rows (some tens of MB) is broadcast.
 BROADCAST_TERMS = 500_000
 #: Otherwise both sides are shuffled, a frequent term being cut into this many parts.
 SALTS = 16
+#: A request's rarest terms, until they have this many times ``k`` rows, set the score that its other rows must reach.
+LEADING = 20
+#: Bounds and scores add up in another order; this keeps a bound from falling below a score by rounding.
+SLACK = 1e-9
 
 
 def _corpus_stats(corpus: Corpus, fields: list[str]) -> DataFrame:
@@ -86,13 +91,8 @@ def _fits(rows: DataFrame, bound: int) -> bool:
     return rows.limit(bound + 1).count() <= bound
 
 
-def _best_per_request(corpus: Corpus, fields: list[str], asked: DataFrame, stats: DataFrame, k: int,
-                      small: bool, frequency: bool, excluding_self: bool) -> DataFrame:
-    """Score every (request, row) pair that shares a term and keep each request's best ``k``.
-
-    ``asked`` has ``query_id, field, term, idf, weight``.
-    """
-    rows = _rows(corpus, fields, frequency)
+def _gains(rows: DataFrame, asked: DataFrame, small: bool, frequency: bool, excluding_self: bool) -> DataFrame:
+    """``query_id, doc_id, score`` of the (request, row) pairs that share one of the asked terms."""
     on = ["field", "term"]
     if small:
         pairs = rows.join(F.broadcast(asked), on)
@@ -103,14 +103,83 @@ def _best_per_request(corpus: Corpus, fields: list[str], asked: DataFrame, stats
         )
     if excluding_self:
         pairs = pairs.where(F.col("query_id") != F.col("doc_id"))
-    pairs = pairs.withColumn(STATS, stats.scalar())
-    tf = F.col("tf") if frequency else F.lit(1)
-    gain = F.col("weight") * bm25(tf, F.col("dl"), F.col("idf"), F.col(STATS)["avg"][F.col("field")])
-    scored = pairs.groupBy("query_id", "doc_id").agg(F.sum(gain).alias("score"))
+    return pairs.groupBy("query_id", "doc_id").agg(F.sum(_gain(frequency)).alias("score"))
+
+
+def _gain(frequency: bool):
+    return F.col("weight") * bm25(F.col("tf") if frequency else F.lit(1), F.col("dl"), F.col("idf"), F.col("avg"))
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
     by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return scored.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
 
 
+def _completed(rows: DataFrame, pairs: DataFrame, terms: DataFrame, small: bool, frequency: bool) -> DataFrame:
+    """``pairs`` (``query_id, doc_id, score``) with the gains of their request's ``terms`` added, looked up row by row."""
+    held = terms.groupBy("query_id").agg(F.collect_list(F.struct("field", "term", "idf", "avg", "weight")).alias("others"))
+    asked = pairs.join(F.broadcast(held) if small else held, "query_id", "left")
+    asked = asked.select("query_id", F.col("doc_id").alias("id_"), "score", F.explode_outer("others").alias("o"))
+    asked = asked.select("query_id", "id_", "score", F.col("o.field").alias("field_"), F.col("o.term").alias("term_"), "o.idf", "o.avg", "o.weight")
+    same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("field") == F.col("field_")) & (F.col("term") == F.col("term_"))
+    found = asked.join(rows, same, "left").groupBy("query_id", F.col("id_").alias("doc_id"))
+    return found.agg((F.max("score") + F.coalesce(F.sum(_gain(frequency)), F.lit(0.0))).alias("score"))
+
+
+def split_terms(rows: DataFrame, asked: DataFrame, k: int, small: bool, frequency: bool, excluding_self: bool) -> DataFrame:
+    """``asked`` with ``least`` (no row below it is among a request's best ``k``), ``upto`` and ``essential``.
+
+    ``least`` is the lowest whole score of the ``k`` rows that the request's rarest terms favour. Terms of the smallest
+    largest gains are not essential as long as all of them together (``upto``) stay below it: a row needs another term.
+    """
+    asked = _largest_gains(rows, asked, small, frequency)
+    of_request = W.partitionBy("query_id")
+    before = F.sum("df").over(of_request.orderBy("df", "field", "term").rowsBetween(W.unboundedPreceding, -1))
+    leading = asked.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < LEADING * k)
+    first = _ranked(_gains(rows, leading, small, frequency, excluding_self), k).select("query_id", "doc_id", F.lit(0.0).alias("score"))
+    whole = _completed(rows, first, asked, small, frequency).groupBy("query_id").agg(F.count(F.lit(1)).alias("c"), F.min("score").alias("s"))
+    least = whole.where(F.col("c") == k).select("query_id", (F.col("s") * (1 - SLACK)).alias("least"))
+    upto = F.sum("top").over(of_request.orderBy("top", "field", "term").rowsBetween(W.unboundedPreceding, W.currentRow))
+    known = asked.withColumn("upto", upto * (1 + SLACK)).join(least, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+    return known.withColumn("essential", F.col("upto") >= F.col("least"))
+
+
+def _largest_gains(rows: DataFrame, asked: DataFrame, small: bool, frequency: bool) -> DataFrame:
+    """``asked`` with ``top``, no less than what its term adds to any row: exact for few requests, else from the formula."""
+    if small:
+        most = rows.join(F.broadcast(asked.select("field", "term", "idf", "avg").distinct().withColumn("weight", F.lit(1.0))), ["field", "term"])
+        most = most.groupBy("field", "term").agg(F.max(_gain(frequency)).alias("most"))
+        return asked.join(most, ["field", "term"]).withColumn("top", F.col("weight") * F.col("most")).drop("most")
+    norm = F.lit(1.0 if frequency else 1 + K1 * (1 - B)) + F.lit(K1 * B) / F.col("avg")
+    return asked.withColumn("top", F.col("weight") * F.col("idf") * F.lit(K1 + 1) / norm)
+
+
+def _best_per_request(corpus: Corpus, fields: list[str], asked: DataFrame, stats: DataFrame, k: int, small: bool,
+                      frequency: bool, excluding_self: bool, rising: bool = True) -> DataFrame:
+    """Each request's best ``k`` rows among those that share a term with it.
+
+    ``asked`` has ``query_id, field, term, df, idf, weight``. With an index, essential terms generate (request, row) pairs
+    and the other, frequent ones are looked up for pairs that can still be among the best; scores are whole. Without one
+    the analysis of the texts yields all terms of a row at once, and weights below zero (not ``rising``) have no such
+    bounds: every pair is scored.
+    """
+    rows = _rows(corpus, fields, frequency)
+    asked = asked.withColumn(STATS, stats.scalar()).withColumn("avg", F.col(STATS)["avg"][F.col("field")]).drop(STATS)
+    if corpus.index is None or not rising or k < 1:
+        return _ranked(_gains(rows, asked, small, frequency, excluding_self), k)
+    parts = written(split_terms(rows, written(asked), k, small, frequency, excluding_self))
+    return _ranked(candidates(rows, parts, small, frequency, excluding_self), k)
+
+
+def candidates(rows: DataFrame, parts: DataFrame, small: bool, frequency: bool, excluding_self: bool) -> DataFrame:
+    """Whole scores of the (request, row) pairs that essential terms generate and that can reach ``least``."""
+    open_ = F.coalesce(F.max(F.when(~F.col("essential"), F.col("upto"))), F.lit(0.0))
+    request = parts.groupBy("query_id").agg(F.max("least").alias("least"), open_.alias("open"))
+    pairs = _gains(rows, parts.where("essential"), small, frequency, excluding_self)
+    pairs = pairs.join(F.broadcast(request) if small else request, "query_id").where(F.col("score") + F.col("open") >= F.col("least"))
+    return _completed(rows, pairs, parts.where(~F.col("essential")), small, frequency)
+
+
 def search_many(corpus: Corpus, queries: DataFrame, k: int = 10, *, query_id: str = "query_id",
                 text: str = "text", fields: list[str] | None = None) -> DataFrame:
     """Full text (any word) for a table of queries: ``query_id, doc_id, score, rank``."""
@@ -132,14 +201,14 @@ def search_many(corpus: Corpus, queries: DataFrame, k: int = 10, *, query_id: st
     stats, freqs = _statistics(corpus, fields, wanted.select("field", "term").distinct() if small else None)
     asked = (
         wanted.join(freqs, ["field", "term"]).withColumn(STATS, stats.scalar())
-        .select("query_id", "field", "term", "weight", idf(F.col(STATS)["n"], F.col("df")).alias("idf"))
+        .select("query_id", "field", "term", "df", "weight", idf(F.col(STATS)["n"], F.col("df")).alias("idf"))
     )
     return _best_per_request(corpus, fields, asked, stats, k, small, frequency=True, excluding_self=False)
 
 
 def _telling_terms(corpus: Corpus, fields: list[str], sources: DataFrame, like: MoreLikeThis,
                    stats: DataFrame | None, small: bool) -> DataFrame:
-    """Per source row its terms of highest tf*idf: ``query_id, field, term, idf, weight``.
+    """Per source row its terms of highest tf*idf: ``query_id, field, term, df, idf, weight``.
 
     ``stats`` may be left out for one source (``small``), whose terms are few.
     """
@@ -172,7 +241,7 @@ def _telling_terms(corpus: Corpus, fields: list[str], sources: DataFrame, like:
         weight = F.lit(1.0)
     else:
         weight = F.col("telling") * like.boost_factor / F.max("telling").over(W.partitionBy("query_id"))
-    return known.select("query_id", "field", "term", "idf", weight.alias("weight"))
+    return known.select("query_id", "field", "term", "df", "idf", weight.alias("weight"))
 
 
 def _text_fields(corpus: Corpus) -> list[str]:
@@ -204,7 +273,8 @@ def more_like_this(corpus: Corpus, sources: DataFrame | None = None, k: int = 10
         (corpus.df if sources is None else sources).select(key), BROADCAST_TERMS // per_source
     )
     return _best_per_request(
-        corpus, fields, asked, stats, k, bounded, frequency=False, excluding_self=like.exclude_source
+        corpus, fields, asked, stats, k, bounded, frequency=False, excluding_self=like.exclude_source,
+        rising=(like.boost_factor or 0) >= 0,
     )
 
 
