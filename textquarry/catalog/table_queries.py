@@ -16,12 +16,13 @@ from textquarry.operators.aggregate import (
 )
 from textquarry.operators.deep import GlobalOrder
 from textquarry.operators.distinct import distinct_page, distinct_values
+from textquarry.operators.facet_tree import FacetTree
 from textquarry.operators.facets import Facet, facet_counts
 from textquarry.operators.search import ByField, IndexOrder, count, matches, search
 from textquarry.operators.sketches import SketchTable
 from textquarry.sources import maintain
 from textquarry.sources.scratch import scratch_path
-from textquarry.streaming import ingest
+from textquarry.streaming import ingest, statistics
 
 QUERIES, ORACLE = {}, {}
 
@@ -200,6 +201,31 @@ register(
     lambda spark, sf: facet_counts(docs(spark, sf), [Facet("path")], q.Match("the")).select("label", "count"),
     f"WITH {TOK} SELECT '/' || lang AS label, count(*) AS count FROM documents WHERE doc_id IN (SELECT doc_id FROM tok WHERE term = 'the') GROUP BY lang",
 )
+_tree = lambda corpus, field: FacetTree.build(corpus, field, scratch_path(corpus.spark, "facets"))
+register(
+    "facet_tree",
+    lambda spark, sf: _tree(docs(spark, sf), "path").totals(q.Match("the")),
+    f"WITH {TOK}, hit AS (SELECT lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM tok WHERE term = 'the') AND lang IS NOT NULL AND source IS NOT NULL) "
+    "SELECT '/' AS label, 0 AS depth, count(*) AS count, count(DISTINCT lang) AS child_count FROM hit HAVING count(*) > 0 "
+    "UNION ALL SELECT '/' || lang, 1, count(*), count(DISTINCT source) FROM hit GROUP BY lang "
+    "UNION ALL SELECT '/' || lang || '/' || source, 2, count(*), 0 FROM hit GROUP BY lang, source",
+)
+register("facet_tree_drill", lambda spark, sf: _tree(docs(spark, sf), "path").under(["en"]), "SELECT doc_id FROM documents WHERE lang = 'en' AND source IS NOT NULL")
+
+
+def _filed(spark, sf):
+    """Several paths per row: the words of a part name and its type."""
+    named = F.transform(F.split("p_name", " "), lambda w: F.concat(F.lit("/name/"), w))
+    df = table(spark, sf, "part").withColumn("paths", F.array_append(named, F.concat(F.lit("/type/"), F.col("p_type"))))
+    return Corpus(df, "p_partkey", {"paths": of_kind("facet")}, unique_ids=True)
+
+
+register(
+    "facet_tree_multi_valued",
+    lambda spark, sf: _tree(_filed(spark, sf), "paths").totals().select("label", "count"),
+    "WITH f AS (SELECT p_partkey, unnest(list_append(list_transform(string_split(p_name, ' '), lambda x: '/name/' || x), '/type/' || p_type)) AS path FROM part), "
+    "l AS (SELECT DISTINCT p_partkey, unnest(['/', '/' || split_part(path, '/', 2), path]) AS label FROM f) SELECT label, count(*) AS count FROM l GROUP BY label",
+)
 register(
     "distinct_page",
     lambda spark, sf: distinct_page(customer(spark, sf), "c_name", 40, cursor="Customer#000000020", query=q.Term("c_mktsegment", "MACHINERY")),
@@ -472,9 +498,9 @@ register(
 def _stored(spark, sf):
     """Customers stored by id bucket, then updated by a second and a late third batch."""
     path = scratch_path(spark, "stored")
-    ingest.upsert_batch(table(spark, sf, "customer").withColumn("at", F.lit(0)), 0, path, "c_custkey", "at", 8)
-    ingest.upsert_batch(_renamed(spark, sf), 1, path, "c_custkey", "at")
-    ingest.upsert_batch(_renamed(spark, sf).where("at = 1"), 2, path, "c_custkey", "at")
+    ingest.upsert_rows(table(spark, sf, "customer").withColumn("at", F.lit(0)), path, "c_custkey", "at", 8)
+    ingest.upsert_rows(_renamed(spark, sf), path, "c_custkey", "at")
+    ingest.upsert_rows(_renamed(spark, sf).where("at = 1"), path, "c_custkey", "at")
     return path
 
 
@@ -499,6 +525,21 @@ register(
     "stored_delete", _stored_delete,
     f"SELECT * FROM ({_UPDATED}) WHERE c_acctbal >= 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)",
 )
+
+
+def _stream_statistics(spark, sf):
+    """Documents arriving as a stream; their statistics as of its last batch."""
+    path = scratch_path(spark, "statistics")
+    stream = spark.readStream.schema(table(spark, sf, "documents").schema).parquet(f"{sf}/documents.parque[t]")
+    statistics.statistics_stream(stream, f"{path}/totals", f"{path}/checkpoint", id_col="doc_id", text_col="text").awaitTermination()
+    return statistics.read_statistics(spark, f"{path}/totals").withColumn("term", F.coalesce("term", F.lit("")))
+
+
+register(
+    "stream_statistics", _stream_statistics,
+    f"WITH {TOK} SELECT term, count(DISTINCT doc_id) AS n_rows, count(*) AS n_terms FROM tok GROUP BY term "
+    "UNION ALL SELECT '', (SELECT count(*) FROM documents), (SELECT count(*) FROM tok)",
+)
 register(
     "save_open",
     lambda spark, sf: matches(customer(spark, sf).save(scratch_path(spark, "saved"), cluster_by_id=True), q.Range("c_acctbal", gte=5000.0)).select("c_custkey", "c_name"),

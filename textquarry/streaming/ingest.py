@@ -1,15 +1,19 @@
-"""Keeping a stored corpus up to date, from streams or batch by batch.
+"""Keeping stored corpora up to date from streams, with ``foreachBatch`` over Parquet folders.
 
-A stored corpus is a folder of data directories and a manifest. Each write makes a directory of its own and then adds
-rows to the manifest, which is what readers go by: a write that did not get that far is not seen. A manifest row names
-the stream and batch it came from, so a replayed batch is recognised whatever other streams did meanwhile; versions
-count upwards over all writers. Appending streams may run side by side; of upserting or deleting writers, one at a time.
+An appended corpus holds one folder per stream and batch. A batch that Spark replays after a failure overwrites its own
+folder, so it is there once, and any number of streams may share a path.
+
+An upserted corpus is partitioned by a hash of the id. A batch merges its rows with the stored rows of the id buckets it
+touches and overwrites these partitions. Of equal ids the row with the largest ``order_by`` stays, stored rows included,
+and of equal ones the new row: a replayed batch changes nothing, a late row does not replace a newer one. One stream may
+write to a path at a time. Parquet folders have no atomic replacement: a reader during a write may see either state of a
+bucket, and a writer that dies while Spark moves finished files into place can lose that bucket. Where that matters, let
+the same batch function write to a transactional table format.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,178 +21,122 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textquarry.errors import RequestError
-from textquarry.plans.compiler import Compiler
-from textquarry.plans.features import scan_base
 from textquarry.plans.query import Query
+from textquarry.plans.frames import matching
 from textquarry.sources.corpus import Corpus
 from textquarry.sources.maintain import latest
 
-BUCKET, WRITE = "__bucket", "__write"
-MANIFEST = "version long, stream string, batch long, buckets int, bucket int, empty boolean, write string"
+STREAM, BATCH = "__stream", "__batch"
+#: The partition column's name ends in the number of buckets, so a corpus cannot be written with two.
+BUCKET = "__bucket_of_"
+BUCKETS = 64
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row per finished write, or per id bucket it rewrote; no rows where nothing is stored yet."""
-    try:
-        return spark.read.schema(MANIFEST).json(f"{path}/manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], MANIFEST)
+def stream_name(checkpoint: str) -> str:
+    """The identity of a stream: its checkpoint, which holds its batch numbers."""
+    return "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
-def _done(log: DataFrame, stream: str, batch: int) -> bool:
-    return bool(log.where((F.col("stream") == stream) & (F.col("batch") == batch)).limit(1).count())
+def run_batches(stream: DataFrame, write, checkpoint: str, mode: str = "append", **trigger) -> StreamingQuery:
+    """``write(batch, number)`` for every micro-batch; by default until all that is there now is done."""
+    batches = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return batches.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _commit(spark: SparkSession, path: str, log: DataFrame, rows: list[tuple]) -> None:
-    """Add ``rows`` (stream, batch, buckets, bucket, empty, write) as the version after the newest."""
-    version = (log.agg(F.max("version")).first()[0] or 0) + 1
-    spark.createDataFrame([(version, *r) for r in rows], MANIFEST).coalesce(1).write.mode("append").json(f"{path}/manifest")
+def append_stream(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Add every micro-batch, once."""
+    own = f"{path}/{STREAM}={stream_name(checkpoint)}"
+    return run_batches(stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{own}/{BATCH}={n}"), checkpoint, **trigger)
 
 
-def stream_name(checkpoint: str) -> str:
-    """The identity of a stream: its checkpoint, which holds its batch numbers."""
-    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the finished batches."""
+    return spark.read.parquet(path).drop(STREAM, BATCH)
 
 
-def append_batch(batch: DataFrame, batch_id: int, path: str, stream: str) -> None:
-    """Add the rows of one batch, once."""
-    log = manifest(batch.sparkSession, path)
-    if _done(log, stream, batch_id):
-        return
-    write = uuid.uuid4().hex
-    batch.write.parquet(f"{path}/data/{WRITE}={write}")
-    _commit(batch.sparkSession, path, log, [(stream, batch_id, None, None, False, write)])
+def _stored(spark: SparkSession, path: str) -> tuple[DataFrame, str] | None:
+    """The stored rows and their bucket column; nothing where no batch has been written."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return rows, next(c for c in rows.columns if c.startswith(BUCKET))
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Add every micro-batch; any number of streams may share ``path``."""
-    name = stream_name(checkpoint)
-    return stream.writeStream.foreachBatch(lambda batch, n: append_batch(batch, n, path, name)).option(
-        "checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+def _existing(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    stored = _stored(spark, path)
+    if stored is None:
+        raise RequestError(f"nothing is stored at {path}")
+    return stored
 
 
-def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of the finished batches."""
-    finished = manifest(spark, path).select(F.col("write").alias(WRITE)).distinct()
-    return spark.read.parquet(f"{path}/data").join(finished, WRITE, "left_semi").drop(WRITE)
+def _bucket(id_col: str, name: str):
+    return F.pmod(F.xxhash64(id_col), F.lit(int(name.removeprefix(BUCKET)))).cast("int").alias(name)
 
 
-def _bucket(id_col: str, buckets: int):
-    return F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
+def _replace(rows: DataFrame, path: str, bucket: str) -> None:
+    """``rows`` become the whole content of the buckets they fall into."""
+    rows.hint("rebalance", bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path)
 
 
-def _current(spark: SparkSession, path: str, only: list[int] | None = None) -> DataFrame | None:
-    """Current rows with their bucket: of each id bucket, those of the newest write. One path per bucket is listed."""
-    newest = manifest(spark, path).groupBy("bucket").agg(F.max_by(F.struct("empty", "write"), "version").alias("w"))
-    held = [(r[0], r[1]) for r in newest.where("NOT w.empty").select("bucket", "w.write").collect() if only is None or r[0] in only]
-    if not held:
-        return None
-    paths = [f"{path}/data/{WRITE}={write}/{BUCKET}={bucket}" for bucket, write in held]
-    return spark.read.option("basePath", f"{path}/data").parquet(*paths).drop(WRITE)
-
-
-def _buckets(log: DataFrame, wanted: int | None) -> int:
-    """The number of id buckets the corpus was stored with."""
-    held = log.agg(F.max("buckets")).first()[0]
-    if held is not None and wanted not in (None, held):
-        raise RequestError(f"this corpus is stored in {held} buckets, not {wanted}; use compact() to change that")
-    return held or wanted or 64
-
-
-def _rewrite(spark, path, log, rows: DataFrame, touched: list[int], buckets: int, stream: str, batch_id: int) -> None:
-    """``rows`` become the whole content of the ``touched`` buckets."""
-    write = uuid.uuid4().hex
-    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{WRITE}={write}")
-    held = set()
-    if touched:
-        try:
-            held = {r[0] for r in spark.read.parquet(f"{path}/data/{WRITE}={write}").select(BUCKET).distinct().collect()}
-        except AnalysisException as e:  # nothing was left to write
-            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-    _commit(spark, path, log, [(stream, batch_id, buckets, b, b not in held, write) for b in touched])
-
-
-def upsert_batch(batch: DataFrame, batch_id: int, path: str, id_col: str, order_by: str, buckets: int | None = None,
-                 stream: str = "batch") -> None:
-    """Insert or replace by id, once per (stream, batch): the row with the largest ``order_by`` wins, stored rows included.
-
-    Of equal ones the new row wins. Only the id buckets the batch touches are rewritten.
-    """
-    spark, log = batch.sparkSession, manifest(batch.sparkSession, path)
-    if _done(log, stream, batch_id):
-        return
-    buckets = _buckets(log, buckets)
-    batch = batch.persist()
+def upsert_rows(rows: DataFrame, path: str, id_col: str, order_by: str, buckets: int | None = None) -> None:
+    """Insert or replace by id; the first write fixes the number of buckets. A batch without rows changes nothing."""
+    stored = _stored(rows.sparkSession, path)
+    name = stored[1] if stored else f"{BUCKET}{buckets or BUCKETS}"
+    if buckets is not None and name != f"{BUCKET}{buckets}":
+        raise RequestError(f"this corpus is stored in {name.removeprefix(BUCKET)} buckets, not {buckets}")
+    rows = rows.persist()
     try:
-        fresh = batch.withColumn(BUCKET, _bucket(id_col, buckets)).withColumn("__new", F.lit(1))
-        touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # at most ``buckets`` numbers
-        stored = _current(spark, path, touched)
-        if stored is not None:
-            fresh = stored.withColumn("__new", F.lit(0)).unionByName(fresh)
-        rows = latest(fresh.withColumn("__order", F.struct(order_by, "__new")), id_col, "__order").drop("__order", "__new")
-        _rewrite(spark, path, log, rows, touched, buckets, stream, batch_id)
+        fresh = rows.select("*", _bucket(id_col, name), F.lit(1).alias("__new"))
+        if stored:
+            touched = [r[0] for r in fresh.select(name).distinct().collect()]  # at most as many numbers as buckets
+            if not touched:
+                return
+            fresh = stored[0].where(F.col(name).isin(touched)).withColumn("__new", F.lit(0)).unionByName(fresh)
+        kept = latest(fresh.withColumn("__order", F.struct(order_by, "__new")), id_col, "__order").drop("__order", "__new")
+        _replace(kept, path, name)
     finally:
-        batch.unpersist()
+        rows.unpersist()
 
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, *, id_col: str, order_by: str,
                   buckets: int | None = None, **trigger) -> StreamingQuery:
-    """Insert or replace by id from a stream.
-
-    Choose ``buckets`` when the corpus is first stored, so that one bucket is a few hundred MB; it is kept with the corpus.
-    """
-    name = stream_name(checkpoint)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            upsert_batch(batch, batch_id, path, id_col, order_by, buckets, name)
-
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
-        **(trigger or {"availableNow": True})).start()
+    """Insert or replace by id from a stream. Choose ``buckets`` so that one is a few hundred MB."""
+    return run_batches(stream, lambda batch, _: upsert_rows(batch, path, id_col, order_by, buckets), checkpoint, **trigger)
 
 
 def open_upserted(spark: SparkSession, path: str, id_col: str, seq_col: str | None = None, fields: dict | None = None) -> Corpus:
-    """The stored corpus as of the last finished write."""
-    rows = _current(spark, path)
-    if rows is None:  # all buckets are empty: the columns still come from the data
-        rows = spark.read.parquet(f"{path}/data").drop(WRITE).where("false")
-    return Corpus(rows.drop(BUCKET), id_col, fields, seq_col=seq_col, unique_ids=True)
+    """The stored corpus."""
+    rows, bucket = _existing(spark, path)
+    return Corpus(rows.drop(bucket), id_col, fields, seq_col=seq_col, unique_ids=True)
 
 
 def delete_stored(spark: SparkSession, path: str, id_col: str, ids: DataFrame) -> None:
     """Remove the rows whose id is among ``ids`` (a table with the id column)."""
-    log = manifest(spark, path)
-    buckets = _buckets(log, None)
-    ids = ids.select(id_col).distinct()
-    touched = sorted(r[0] for r in ids.select(_bucket(id_col, buckets)).distinct().collect())
-    stored = _current(spark, path, touched)
-    if stored is not None:
-        _rewrite(spark, path, log, stored.join(ids, id_col, "left_anti"), touched, buckets, "delete", uuid.uuid4().int >> 66)
+    rows, bucket = _existing(spark, path)
+    gone = ids.select(F.col(id_col).alias("__gone")).distinct()
+    met = rows.join(gone, F.col(id_col) == F.col("__gone"), "left").select(bucket, F.col("__gone").isNotNull().alias("hit"))
+    counts = met.groupBy(bucket).agg(F.count_if("hit").alias("hit"), F.count_if(~F.col("hit")).alias("left")).where("hit > 0").collect()
+    kept = rows.where(F.col(bucket).isin([r[bucket] for r in counts if r.left])).join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    if any(r.left for r in counts):
+        _replace(kept, path, bucket)
+    _empty(rows, path, bucket, [r[bucket] for r in counts if not r.left])
+
+
+def _empty(rows: DataFrame, path: str, bucket: str, numbers: list[int]) -> None:
+    """Leave these buckets without rows; the schema stays."""
+    for n in numbers:  # at most as many as there are buckets
+        rows.drop(bucket).limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/{bucket}={n}")
 
 
 def delete_where_stored(spark: SparkSession, path: str, id_col: str, query: Query, fields: dict | None = None) -> None:
     """Remove the rows that match ``query``."""
-    corpus = open_upserted(spark, path, id_col, fields=fields)
-    compiler = Compiler(corpus)
-    hit = F.coalesce(compiler.compile(query).match, F.lit(False))
-    frame = compiler.features.scan_frame(scan_base(corpus, compiler.features))
-    delete_stored(spark, path, id_col, frame.where(hit).select(id_col))
+    delete_stored(spark, path, id_col, matching(open_upserted(spark, path, id_col, fields=fields), query, columns=[id_col]))
 
 
 def truncate_stored(spark: SparkSession, path: str) -> None:
     """Remove every row; the schema stays."""
-    log = manifest(spark, path)
-    buckets = _buckets(log, None)
-    held = [r[0] for r in log.select("bucket").distinct().collect()]
-    _commit(spark, path, log, [("truncate", uuid.uuid4().int >> 66, buckets, b, True, "") for b in held])
-
-
-def compact(spark: SparkSession, path: str, target: str, id_col: str, buckets: int | None = None) -> None:
-    """Write the current rows to a fresh folder, as one version and with any number of buckets; ``path`` can then go."""
-    log = manifest(spark, path)
-    buckets = buckets or _buckets(log, None)
-    rows = open_upserted(spark, path, id_col).df.withColumn(BUCKET, _bucket(id_col, buckets))
-    _rewrite(spark, target, manifest(spark, target), rows, list(range(buckets)), buckets, "compact", 0)
+    rows, bucket = _existing(spark, path)
+    _empty(rows, path, bucket, [r[0] for r in rows.select(bucket).distinct().collect()])
