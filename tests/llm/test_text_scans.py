@@ -96,6 +96,49 @@ def test_decontamination_matches(spark):
     assert {r.n_hit for r in decontamination.contamination(docs, items.limit(0)).collect()} == {0}
 
 
+def brute_proximity(rows, items, size, slop):
+    texts = [(i, split(t)) for i, t in rows]
+    counts = {}
+    for _, w in texts:
+        for x in w:
+            counts[x] = counts.get(x, 0) + 1
+    found = set()
+    for item, text in items:
+        held = split(text)
+        for k in range(max(1, len(held) - size + 1)):
+            window = held[k:k + size]
+            if not window or any(x not in counts for x in window):
+                continue
+            _, offset, rarest = min((counts[x], n, x) for n, x in enumerate(window))
+            for i, w in texts:
+                for start in (p - offset for p, x in enumerate(w) if x == rarest):
+                    near = all(x in w[max(0, start + n - slop):max(0, start + n + slop + 1)] for n, x in enumerate(window))
+                    if near and start >= -slop:
+                        found.add((i, str(item), start))
+    return found
+
+
+@pytest.mark.parametrize("slop", [0, 1, 3])
+def test_proximity_of_ten_words(spark, slop):
+    """All ten words of a window are looked for, not only the rarest three."""
+    pick = random.Random(slop)
+    vocabulary = [f"v{n}" for n in range(60)]
+    passages = [[pick.choice(vocabulary) for _ in range(14)] for _ in range(6)]
+    rows = []
+    for k in range(80):
+        w = list(passages[k % 6])
+        for _ in range(pick.randrange(4)):
+            at = pick.randrange(len(w) - 1)
+            change = pick.randrange(4)
+            w[at:at + 2] = [[w[at + 1], w[at]], [w[at], "new", w[at + 1]], [w[at]], ["new", w[at + 1]]][change]
+        rows.append((k, " ".join(w if k % 5 == 0 else [pick.choice(vocabulary) for _ in range(pick.randrange(9))] + w)))
+    rows += [(None, " ".join(passages[0])), (200, None), (7, rows[7][1])]
+    items = [(n, " ".join(p)) for n, p in enumerate(passages)] + [(50, "v1 v2"), (51, None), (52, "never v1")]
+    want = brute_proximity(rows, items, 10, slop)
+    got = decontamination.proximity_matches(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), 10, slop).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and len(want) > 20
+
+
 def test_decontamination_of_null_ids(spark):
     passage = "one two three four five six seven eight nine ten eleven"
     rows = [(None, f"so {passage} then"), (1, passage), (None, "one two three four other"), (2, "nothing of it")]

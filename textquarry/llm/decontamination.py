@@ -116,10 +116,30 @@ def phrase_matches(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFra
     return exact_places(rows, places, owned).join(owned.select("number", "item_id"), "number").select("doc_id", "item_id", "start", "length")
 
 
+def near_places(rows: DataFrame, places: DataFrame, owned: DataFrame, slop: int) -> DataFrame:
+    """The places where every word of the window stands at most ``slop`` words off its own place."""
+    phrases = small(stored(owned.select("number", "window").distinct()))
+    asked = places.join(phrases, "number").groupBy("doc_id", "th").agg(F.collect_set(F.struct("number", "start", "window")).alias("asked"))
+    asked = asked.withColumnsRenamed({"doc_id": "id_", "th": "th_"})
+    same_row = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("th") == F.col("th_"))
+    # A candidate may start up to ``slop`` words before the text does, and look as far before that.
+    before = F.array_repeat(F.lit(None).cast("string"), 2 * slop)
+    texts = rows.join(asked, same_row).dropDuplicates(["doc_id", "th"]).select("doc_id", "th", F.concat(before, words(F.col("text"))).alias("w"), "asked")
+    here = F.slice("w", F.col("p.start") + slop + 1, F.size("p.window") + 2 * slop)
+    found = texts.select("doc_id", "th", "w", F.explode("asked").alias("p")).select("doc_id", "th", "p.*", here.alias("here"))
+    stands = F.transform("window", lambda term, i: F.exists(F.slice("here", i + 1, 2 * slop + 1), lambda w: w.eqNullSafe(term)))
+    return found.where(F.forall(stands, lambda x: x)).select("doc_id", "th", "number", "start")
+
+
 def proximity_matches(docs: DataFrame, items: DataFrame, size: int = 10, slop: int = 3) -> DataFrame:
-    """(doc_id, item_id, start): where the rarest terms of an item's window stand at most ``slop`` words off their order."""
-    _, places, owned = occurrences(doc_rows(docs), items, size, slop)
-    return places.join(owned.select("number", "item_id"), "number").select("doc_id", "item_id", "start").distinct()
+    """(doc_id, item_id, start): where an item's window stands with its words at most ``slop`` words off their places.
+
+    Places are counted from the window's rarest word (of equally rare ones the first), which stands on its own.
+    """
+    rows = doc_rows(docs)
+    _, places, owned = occurrences(rows, items, size, slop)
+    near = near_places(rows, places.where(F.col("start") >= -slop).distinct(), owned, slop)
+    return near.join(owned.select("number", "item_id"), "number").select("doc_id", "item_id", "start").distinct()
 
 
 def _digest(ids: Column) -> Column:
