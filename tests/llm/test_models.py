@@ -16,6 +16,7 @@ from .test_duplicates import brute_lines, brute_similar
 from .test_text_scans import brute_hits
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+HELD_OUT = os.environ.get("TEST_HELD_OUT_DIR", "/root/testdata/sf0.1")
 LABELS = "doc_id long, quality int, toxic int, text string"
 
 
@@ -60,6 +61,18 @@ def test_classifier(spark, corpus):
     assert len({(r.p_junk, r.p_toxic) for r in got if r.doc_id in (5, None)}) == 1
 
 
+def test_classifier_on_unseen_labels(spark):
+    """Fitted on half of the labels, read on the other half."""
+    docs = spark.read.parquet(f"{HELD_OUT}/documents.parquet")
+    labels = stored(spark.read.parquet(f"{HELD_OUT}/labels.parquet").withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2))))
+    scored = quality.score_documents(docs, labels.where("half = 0"))
+    kind = F.when(F.col("quality") == 0, "junk").when(F.col("toxic") == 1, "toxic").otherwise("clean")
+    read = scored.join(labels.where("half = 1").select("doc_id", "quality", "toxic"), "doc_id").groupBy(kind.alias("kind")).agg(F.avg(F.col("kept").cast("int")).alias("kept"))
+    kept = {r.kind: r.kept for r in read.collect()}
+    print(kept)
+    assert kept["junk"] <= 0.05 and kept["toxic"] <= 0.1 and kept["clean"] >= 0.99
+
+
 def test_classifier_without_rows(spark, corpus):
     table = spark.createDataFrame([], LABELS)
     assert quality.score_documents(empty(spark), table).count() == 0
@@ -102,12 +115,47 @@ def test_mixing_meets_targets(spark):
     n, p = np.array([a * b for a, b, _ in table], float), np.array([q for _, _, q in table])
     rate, goal = np.ones(len(n)), np.array([targets[d] for d in domains]) * n.sum()
     start = n @ p
-    for step in mixing.fit_rates(members, domains, targets):
+    steps, gap = mixing.fit_rates(members, domains, targets)
+    assert steps and gap <= mixing.TOLERANCE
+    for step in steps:
         move = ((n * rate) @ p - goal) / start
         assert np.allclose(move, step, atol=1e-9)
         rate = np.maximum(0, rate - p @ move)
 
 
+def test_mixing_of_many_domains(spark):
+    """Every labelled domain is modelled and meets its target, however many there are."""
+    pick = random.Random(14)
+    names = [f"d{k:02}" for k in range(40)]
+    own = {d: [f"{d}w{n}" for n in range(30)] for d in names}
+    rows = [(k, " ".join(pick.choice(own[names[k % 40]] + ["x", "y", "z"]) for _ in range(pick.randrange(20, 80))), names[k % 40], 7) for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, target_gap int")
+    labels = spark.createDataFrame([(k,) for k in range(400)], "doc_id long")
+    targets = {d: 1.0 + n % 3 for n, d in enumerate(names)}
+    out = mixing.mix_documents(docs, labels, targets).collect()
+    assert len(out) == 800 and all(r.domain == r.lang for r in out) and {r.target_gap <= mixing.TOLERANCE for r in out} == {True}
+    words = sum(r.n_words for r in out)
+    for d in names:
+        held = sum(r.n_words * r.rate * next(p.p for p in r.posterior if p.domain == d) for r in out)
+        assert abs(held - targets[d] / sum(targets.values()) * words) < 0.001 * words
+
+
+def test_mixing_says_when_targets_cannot_be_met(spark):
+    """All texts are alike, so no rates can tell the domains apart."""
+    docs = spark.createDataFrame([(k, "same words here", "ab"[k % 2], 0) for k in range(40)], "doc_id long, text string, lang string, rate int")
+    labels = spark.createDataFrame([(k,) for k in range(40)], "doc_id long")
+    out = mixing.mix_documents(docs, labels, {"a": 0.9, "b": 0.1}).collect()
+    assert len(out) == 40 and all(abs(r.target_gap - 0.8) < 0.01 for r in out)
+
+
+def test_samples_are_bounded_by_rows(spark):
+    """One id on very many rows is one row of the sample; very long texts are whole."""
+    rows = [(1, f"zogg text {k}") for k in range(300)] + [(2, "b " * 200_000), (3, None)]
+    docs, labels = frame(spark, rows), spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    assert sorted(len(r.w) for r in mixing.labelled_sample(docs, labels).collect()) == [0, 3, 200_000]
+    assert mixing.mix_documents(docs, labels).count() == 302 and quality.score_documents(docs, labels).count() == 302
+
+
 def test_mixing_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long")
     docs = frame(spark, [(1, "a b"), (None, None)])

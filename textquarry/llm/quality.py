@@ -6,10 +6,11 @@ votes is its label. A hashed linear scorer per question (words and votes as feat
 posterior labels of a bounded sample of labelled rows, and scores every document. The toxic labellers look words and
 word beginnings up in lists of terms that stand out in the sample's toxic rows.
 
-Defined cases: a null text is empty, all its labellers abstain and it is kept unless the scorer says otherwise; without
+Defined cases: a null text is empty; a text without words on which all labellers abstain is kept; without
 any labelled row nothing is rejected; equal rows get equal scores; all columns of the documents stay (the result's own
 names replace columns of that name). Nulls and repeated ids among the labels: null rows are left out, the largest label
-of an id counts.
+of an id counts. Of documents that share an id, one (of the least text) enters the sample, so it never has more rows than
+its bound.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from textquarry.llm.common import stored, words
 #: Bound of the sample of labelled rows that lists and scorer are fitted on, and of each list.
 SAMPLE_ROWS = 20_000
 LIST_TERMS = 5_000
-MIN_DOCS, MIN_ODDS = 4, 100.0
+MIN_DOCS, MIN_ODDS = 4, 30.0
 BEGINNINGS = (0, 5, 4)
 
 #: Of each junk labeller: keeps at most so much, rejects from so much on.
@@ -41,6 +42,8 @@ MIN_LINES = 4
 FALSE_ALARM = 0.002
 
 BITS = 18
+#: Penalty on the squares of the word weights, per document: what one document alone says of a word counts little.
+PENALTY = 1e-3
 RESULT = ("p_junk", "p_toxic", "kept")
 
 _byte = np.arange(256)
@@ -165,7 +168,7 @@ def _train(table_rows: list[tuple], rounds: int = 12, batch: int = 256, steps: i
     rounds = max(rounds, -(-steps * batch // len(table_rows)) if len(table_rows) >= batch else steps)
     weights, power = np.zeros(WEIGHTS), np.full(WEIGHTS, 1e-6)
     weights[-1] = -2.0
-    order = np.random.default_rng(7)
+    order, penalty = np.random.default_rng(7), np.where(np.arange(WEIGHTS) < 1 << BITS, PENALTY, 0.0)
     for _ in range(rounds):
         for rows in np.array_split(order.permutation(len(table_rows)), max(1, len(table_rows) // batch)):
             cells = np.concatenate([table_rows[r][0] for r in rows])
@@ -174,7 +177,7 @@ def _train(table_rows: list[tuple], rounds: int = 12, batch: int = 256, steps: i
             label = np.array([table_rows[r][2] for r in rows])
             p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, weights[cells] * values, minlength=len(rows)) + weights[-1], -30, 30)))
             error = p - label
-            slope = np.bincount(cells, error[owner] * values, minlength=WEIGHTS) + 1e-6 * weights
+            slope = np.bincount(cells, error[owner] * values, minlength=WEIGHTS) + len(rows) * penalty * weights
             slope[-1] = error.sum()
             power += slope * slope
             weights -= 0.3 * slope / np.sqrt(power)
@@ -194,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     plain = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text)
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    sample = stored(plain.join(F.broadcast(chosen), "doc_id"))
+    sample = stored(plain.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
     lists = term_lists(sample)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(lists)
@@ -239,6 +242,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     marked = sample.mapInArrow(features, "doc_id long, cells binary, values binary, junk double, toxic double")
     for name, held in marked.repartition(1).sortWithinPartitions("doc_id", "cells").mapInArrow(train, "name string, weights binary").collect():
         weights[("junk", "toxic").index(name)] = np.frombuffer(held)
+    shared.destroy()
+    label_of.destroy()
     return lists, weights
 
 
@@ -256,7 +261,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
             chances = [np.zeros((2, 0))]
             for _, _, chunk, votes in _scan(texts, lists):
                 owner, cell, value = chunk.features(votes)
-                sums = [np.bincount(owner, w[cell] * value, minlength=chunk.docs) + w[-1] for w in weights]
+                sums = np.array([np.bincount(owner, w[cell] * value, minlength=chunk.docs) + w[-1] for w in weights])
+                sums[:, (chunk.count == 0) & ~votes.any(1)] = -30.0
                 chances.append(1 / (1 + np.exp(-np.clip(sums, -30, 30))))
             junk, toxic = np.round(np.concatenate(chances, 1), 6)
             yield pa.record_batch({n: batch.column(n) for n in names} | {"p_junk": pa.array(junk), "p_toxic": pa.array(toxic), "kept": pa.array((junk < 0.5) & (toxic < 0.5))})
