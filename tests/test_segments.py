@@ -1,13 +1,31 @@
 """The index tables are written without a second reading of their input, whatever its size."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import textquarry as q
 from textquarry.plans import terms
+from textquarry.sources import patterns
+from textquarry.sources.patterns import Needed, PatternIndex, fuzzy_table
 from textquarry.sources.postings import TermIndex
 
 
+@pytest.fixture
+def jobs(spark):
+    """Runs something and says how many Spark jobs it took."""
+    def run(name, action):
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            action()
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    return run
+
+
 def test_each_text_is_analysed_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
@@ -32,3 +50,31 @@ def test_terms_with_positions(spark, monkeypatch, most):
     got = sorted((r.doc_id or "", r.term, r.tf, r.dl, r.positions) for r in terms.term_rows(corpus, ["body"], positions=True).collect())
     want = [("", "über", 2, 2, [0, 1]), ("a", "of", 2, 5, [0, 2]), ("a", "the", 2, 5, [1, 3]), ("a", "x", 1, 5, [4]), ("a", "z", 1, 1, [0]), ("d", "x", 2, 2, [0, 2])]
     assert got == want
+
+
+def test_variants_of_long_terms(spark, tmp_path):
+    """A term has at most 29 variants; near words beyond the beginning, at it and across it are still found."""
+    pick, size = random.Random(5), patterns.PREFIX
+    words = {"".join(pick.choice("abc") for _ in range(n)) for n in range(size - 3, size + 6) for _ in range(12)}
+    far = ["".join(pick.choice("abcdefgh") for _ in range(30)) for _ in range(5)]
+    table = spark.createDataFrame([("body", w, 1) for w in [*words, *far]], "field string, term string, df long")
+    built = PatternIndex.build(table, str(tmp_path / "p"), tables=["deletions"])
+    assert built.deletions.groupBy("term").count().agg(F.max("count")).first()[0] <= 1 + size + size * (size - 1) // 2
+    asked = spark.createDataFrame([(w,) for w in sorted(words)[::3] + [w[1:] + "x" for w in far]], "word string")
+    got = {(r.word, r.term): r.distance for r in fuzzy_table(built, asked, 2, field="body").collect()}
+    pairs = asked.crossJoin(table.select("term")).withColumn("distance", F.levenshtein("word", "term")).where("distance <= 2")
+    assert got == {(r.word, r.term): r.distance for r in pairs.collect()}
+    assert built.grams is None and not built.answers(Needed(grams=("abc",)))
+
+
+@pytest.fixture
+def index(spark, tmp_path):
+    rows = [(k, f"station{k % 9} w{k}") for k in range(50)]
+    corpus = q.Corpus(spark.createDataFrame(rows, "id long, body string"), "id", {"body": q.text()}, unique_ids=True)
+    return TermIndex.build(corpus, str(tmp_path / "i"))
+
+
+def test_patterns_take_no_sample(index, tmp_path, jobs):
+    """A range partitioning would read its input once more, in a job of its own."""
+    n = jobs("patterns", lambda: PatternIndex.build(index.terms, str(tmp_path / "p")))
+    assert n <= 4  # two tables written, two opened
