@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import textquarry as q
 from textquarry.plans import terms
 from textquarry.sources import patterns
+from textquarry.sources.impacts import BlockIndex
 from textquarry.sources.patterns import Needed, PatternIndex, fuzzy_table
 from textquarry.sources.postings import TermIndex
 
@@ -78,3 +79,9 @@ def test_patterns_take_no_sample(index, tmp_path, jobs):
     """A range partitioning would read its input once more, in a job of its own."""
     n = jobs("patterns", lambda: PatternIndex.build(index.terms, str(tmp_path / "p")))
     assert n <= 4  # two tables written, two opened
+
+
+def test_blocks_take_no_sample(index, tmp_path, jobs):
+    n = jobs("blocks", lambda: BlockIndex.build(index, str(tmp_path / "b")))
+    print("jobs", n)
+    assert n <= 8
