@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import textquarry as q
+from textquarry.operators.similar import more_like_this
 from textquarry.plans import terms
 from textquarry.sources import patterns
 from textquarry.sources.impacts import BlockIndex
@@ -27,7 +28,9 @@ def jobs(spark):
     return run
 
 
-def test_each_text_is_analysed_once(spark, tmp_path):
+@pytest.fixture
+def watched(spark):
+    """A corpus of 200 rows and how often one of its texts was read."""
     seen = spark.sparkContext.accumulator(0)
 
     @F.udf("string")
@@ -36,12 +39,27 @@ def test_each_text_is_analysed_once(spark, tmp_path):
         return text
 
     rows = spark.createDataFrame([(k, f"w{k % 7} w{k} w{k % 7}") for k in range(200)], "id long, body string")
-    corpus = q.Corpus(rows.select("id", read.asNondeterministic()("body").alias("body")), "id", {"body": q.text()}, unique_ids=True)
+    return q.Corpus(rows.select("id", read.asNondeterministic()("body").alias("body")), "id", {"body": q.text()}, unique_ids=True), seen
+
+
+def test_each_text_is_analysed_once(watched, tmp_path):
+    corpus, seen = watched
     index = TermIndex.build(corpus, str(tmp_path / "i"))
     assert seen.value == 200
     assert index.terms.where("term = 'w3'").first().df == 29 and index.postings.where("tf = 3").count() == 7
 
 
+def test_similar_rows_read_each_text_once(watched, tmp_path):
+    """Over texts they are analysed once for frequencies, requests and rows; over an index not at all."""
+    corpus, seen = watched
+    like = q.MoreLikeThis(None, min_doc_frequency=1, max_doc_frequency=60, max_query_terms=5, min_word_length=1)
+    found = lambda c: sorted((r.query_id, r["rank"], r.doc_id, round(r.score, 9)) for r in more_like_this(c, k=3, like=like).collect())
+    plain = found(corpus)
+    assert seen.value == 200 and len(plain) == 600
+    indexed = corpus.with_index(TermIndex.build(corpus, str(tmp_path / "i")))
+    assert found(indexed) == plain and seen.value == 400
+
+
 @pytest.mark.parametrize("most", [1 << 20, 5, 1])
 def test_terms_with_positions(spark, monkeypatch, most):
     """However a batch is cut: tokens in their places, dropped ones as holes, rows without tokens left out."""
