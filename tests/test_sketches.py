@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import textquarry as q
 from textquarry.errors import RequestError
+from textquarry.operators.aggregate import Cardinality, Sum, aggregate
 from textquarry.operators.sketches import SketchTable
 
 
@@ -56,3 +57,12 @@ def test_nothing_to_merge(spark, tmp_path):
         SketchTable.write(corpus(spark, held), str(tmp_path / "t"), {}, ["user"])
     with pytest.raises(RequestError):
         SketchTable.write(corpus(spark, held), str(tmp_path / "t"), {"kind": F.col("kind")}, quantiles=["kind"])
+
+
+def test_exact_distinct_values_carry_no_sketch(spark):
+    """Beside a sketch the exact number is a pass of its own: no group of one value holds a sketch of its rows."""
+    rows = spark.createDataFrame([(k, k % 7 or None, float(k % 5)) for k in range(200)], "id long, v long, x double")
+    got = aggregate(q.Corpus(rows, "id"), [Cardinality("about", "v"), Cardinality("exactly", "v", exact=True), Sum("total", "x")]).metrics
+    assert tuple(got.first()) == (6, 6, 400.0) and got.columns == ["about", "exactly", "total"]
+    for line in got._jdf.queryExecution().executedPlan().toString().splitlines():
+        assert not ("keys=[" in line and "keys=[]" not in line and "approx_count_distinct" in line), line
