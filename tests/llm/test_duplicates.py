@@ -228,3 +228,14 @@ def test_similar_in_a_dense_group(spark, monkeypatch):
         assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(set(want))
         last[turns] = verified[-1]
     assert last[shingles.TURNS] < last[0] / 2, (last, verified)
+
+
+def test_stars_are_seen_without_a_round(spark, monkeypatch):
+    """Edges that already tie every node to its least one are the result; others are not taken for it."""
+    frame_of = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    stars = [(5, 1), (1, 7), (9, 2), (9, 9), (5, 1)]
+    for edges in ([(3, 2), (2, 1)], [(3, 1), (3, 2)], [(1, 3), (2, 3)]):
+        assert {(r.node, r.root) for r in components.components(frame_of(edges)).collect()} == {(2, 1), (3, 1)}
+    monkeypatch.setattr(components, "_small_star", None)
+    assert sorted(map(tuple, components.components(frame_of(stars)).collect())) == [(5, 1), (7, 1), (9, 2)]
+    assert components.components(frame_of([])).isEmpty()
