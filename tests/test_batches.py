@@ -74,3 +74,12 @@ def test_fewer_pairs_than_term_matches(indexed, queries, monkeypatch):
 def test_no_rows_and_no_queries(indexed, queries, spark):
     assert similar.search_many(indexed, queries.limit(0)).count() == 0
     assert similar.search_many(indexed, queries, k=0).count() == 0
+
+
+def test_many_requests_share_a_pass(corpus, indexed, spark, monkeypatch):
+    """Many requests are scored in one pass over the postings, with the results of a few."""
+    rows = [(k, f"the w{k} w{k // 2} of") for k in range(similar.MANY_REQUESTS + 6)]
+    many = spark.createDataFrame(rows, "query_id long, text string")
+    want = shown(similar.search_many(corpus, many, k=K))
+    monkeypatch.setattr(similar, "split_terms", None)
+    assert shown(similar.search_many(indexed, many, k=K)) == want
